@@ -16,7 +16,7 @@ def build_session(app: str = "kinesift", master: str | None = None, cores: int =
     """A session with the settings the operators are tuned for. Without ``master`` the submitter's one holds."""
     b = SparkSession.builder.appName(app)
     if master:
-        b = b.master(master).config("spark.sql.shuffle.partitions", str(cores)).config("spark.ui.enabled", "false")
+        b = b.master(master).config("spark.sql.shuffle.partitions", str(cores)).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     return (
         b.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
