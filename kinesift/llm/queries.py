@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import caps, percentiles, topn
+from . import caps, confusables, leaks, percentiles, topn
 
 
 def _files_capped(spark: SparkSession, d: str, strata: list | None = None, by: str = "proportional") -> DataFrame:
@@ -66,7 +66,37 @@ def p3_top_clips(spark: SparkSession, d: str) -> DataFrame:
     return topn.top_clips(table(spark, d, "clips_accepted"), n).select("file_id", "clip_id", F.round("clip_score", 6).alias("clip_score"), "rank")
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_passages(spark, d).select("doc_id", "item_id")
+
+
+def p8_passages(spark: SparkSession, d: str) -> DataFrame:
+    """Where in the text each leaked passage stands."""
+    return leaks.leaked_passages(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+
+
+def p8_leaked_items(spark: SparkSession, d: str) -> DataFrame:
+    """How many documents each held-out item leaked into; items that didn't leak have 0."""
+    n = p8_found(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_documents"))
+    items = table(spark, d, "eval_items").select("item_id", "task")
+    return items.join(n, "item_id", "left").select("item_id", "task", F.coalesce("n_documents", F.lit(0)).alias("n_documents"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return confusables.twins(table(spark, d, "documents"), "doc_id", "text").select(F.col("key_a").alias("doc_id"), F.col("key_b").alias("twin_doc_id"))
+
+
+def p10_canonical(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with its consistent form and the class of documents that read the same."""
+    return confusables.canonical(table(spark, d, "documents"), "doc_id", "text")
+
+
 QUERIES = {
+    "p8_found": p8_found,
+    "p8_passages": p8_passages,
+    "p8_leaked_items": p8_leaked_items,
+    "p10_found": p10_found,
+    "p10_canonical": p10_canonical,
     "p1_found": p1_found,
     "p1_by_label": p1_by_label,
     "p1_by_type_equal": p1_by_type_equal,
