@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import caps, confusables, leaks, percentiles, topn
+from . import caps, confusables, consensus, leaks, mixture, percentiles, splits, topn
 
 
 def _files_capped(spark: SparkSession, d: str, strata: list | None = None, by: str = "proportional") -> DataFrame:
@@ -91,7 +91,64 @@ def p10_canonical(spark: SparkSession, d: str) -> DataFrame:
     return confusables.canonical(table(spark, d, "documents"), "doc_id", "text")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    items = consensus.consensus(consensus.votes_of(table(spark, d, "verdicts"))).items.filter("n_accept > 0 AND n_reject > 0")
+    return items.select(F.col("item").alias("review_item_id"), F.when(F.col("accept_probability") >= 0.5, "accept").otherwise("reject").alias("verdict"))
+
+
+def p5_reviewers(spark: SparkSession, d: str) -> DataFrame:
+    """Reliability of every reviewer: chance to be right, on items to accept and to reject, and its community."""
+    r = consensus.consensus(consensus.votes_of(table(spark, d, "verdicts"))).annotators
+    return r.select(F.col("who").alias("reviewer"), "n_labels", *[F.round(c, 6).alias(c) for c in ("reliability", "sensitivity", "specificity")], "community")
+
+
+def p5_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Reliability of every verdict source: share of its standing verdicts that agree with the consensus, softly."""
+    votes = consensus.votes_of(table(spark, d, "verdicts"))
+    items = consensus.consensus(votes).items.select("item", "accept_probability")
+    right = F.when(F.col("y") == 1, F.col("accept_probability")).otherwise(1 - F.col("accept_probability"))
+    return votes.join(items, "item").groupBy(F.coalesce("source", F.lit("none")).alias("verdict_source")).agg(F.count(F.lit(1)).alias("n_labels"), F.round(F.avg(right), 6).alias("reliability"))
+
+
+def p5_agreement(spark: SparkSession, d: str) -> DataFrame:
+    a = consensus.agreement(consensus.votes_of(table(spark, d, "verdicts")))
+    return a.select(F.col("item").alias("review_item_id"), "n_accept", "n_reject", F.round("agreement", 6).alias("agreement"))
+
+
+def p5_alpha(spark: SparkSession, d: str) -> DataFrame:
+    a = consensus.krippendorff_alpha(consensus.votes_of(table(spark, d, "verdicts")))
+    return a.select("n_items", "n_labels", F.round("alpha", 6).alias("alpha"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return splits.torn_files(table(spark, d, "clips_accepted"))
+
+
+def p7_assignment(spark: SparkSession, d: str) -> DataFrame:
+    """One split a group of linked files, by target share."""
+    return splits.grouped_splits(table(spark, d, "clips_accepted"), table(spark, d, "split_targets"))
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.document_mixture(table(spark, d, "documents"), table(spark, d, "source_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    targets = table(spark, d, "source_targets")
+    r = mixture.reached_shares(p9_mixture(spark, d), targets, "doc_id")
+    return r.select("source", "target_share", F.round("reached_share", 6).alias("reached_share"), "n_tokens", "n_documents", "most_repeats")
+
+
 QUERIES = {
+    "p5_found": p5_found,
+    "p5_reviewers": p5_reviewers,
+    "p5_sources": p5_sources,
+    "p5_agreement": p5_agreement,
+    "p5_alpha": p5_alpha,
+    "p7_found": p7_found,
+    "p7_assignment": p7_assignment,
+    "p9_mixture": p9_mixture,
+    "p9_shares": p9_shares,
     "p8_found": p8_found,
     "p8_passages": p8_passages,
     "p8_leaked_items": p8_leaked_items,
@@ -132,7 +189,33 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY clip_score DESC, clip_id) AS r, count(*) OVER (PARTITION BY file_id) AS n FROM clips
 ), lim AS (SELECT max_clips_per_file AS m FROM run_config WHERE is_current)
 """
+_VOTES = r"""
+said AS (
+  SELECT review_item_id, lower(regexp_replace(reviewer, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) AS who,
+         lower(regexp_replace(verdict, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) AS label, try_cast(recorded_utc AS TIMESTAMPTZ) AS ts, log_line
+  FROM verdicts
+), standing AS (
+  SELECT *, row_number() OVER (PARTITION BY review_item_id, who ORDER BY ts DESC NULLS LAST, log_line DESC) AS r FROM said WHERE who <> '' AND label <> ''
+), tally AS (
+  SELECT review_item_id, count(*) FILTER (WHERE label = 'accept') AS a, count(*) FILTER (WHERE label = 'reject') AS j
+  FROM standing WHERE r = 1 AND label IN ('accept', 'reject') GROUP BY review_item_id
+)
+"""
 SQL = {
+    "p5_agreement": f"""WITH {_VOTES} SELECT review_item_id, a AS n_accept, j AS n_reject,
+  round(CASE WHEN a + j > 1 THEN CAST(a * (a - 1) + j * (j - 1) AS DOUBLE) / ((a + j) * (a + j - 1)) END, 6) AS agreement FROM tally""",
+    "p5_alpha": f"""WITH {_VOTES}, s AS (
+  SELECT count(*) AS n_items, CAST(sum(a + j) AS BIGINT) AS n, sum(2e0 * a * j / (a + j - 1)) AS o, CAST(sum(a) AS DOUBLE) AS a, CAST(sum(j) AS DOUBLE) AS j FROM tally WHERE a + j > 1
+) SELECT n_items, n AS n_labels, round(1 - o / (2 * a * j / (n - 1)), 6) AS alpha FROM s""",
+    "p7_found": """WITH RECURSIVE files AS (
+  SELECT file_id, min(vendor) AS v, min(session_id) AS s, min(interaction_id) AS i, regexp_extract(file_id, '_P([A-Za-z0-9]+)$', 1) AS p FROM clips_accepted GROUP BY file_id
+), links AS (
+  SELECT a.file_id AS x, b.file_id AS y FROM files a JOIN files b ON (a.v = b.v AND (a.p = b.p OR a.s = b.s)) OR a.i = b.i
+), reach AS (
+  SELECT file_id AS x, file_id AS y FROM files UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), roots AS (SELECT x AS file_id, min(y) AS root FROM reach GROUP BY x), torn AS (
+  SELECT root FROM roots JOIN clips_accepted USING (file_id) GROUP BY root HAVING count(DISTINCT split) > 1
+) SELECT file_id FROM roots WHERE root IN (SELECT root FROM torn)""",
     "p1_found": f"""WITH {_FILES}, ranked AS (
   SELECT file_id, row_number() OVER (PARTITION BY vendor, p ORDER BY q DESC NULLS LAST, file_id) AS r FROM files
 ) SELECT file_id FROM ranked, cap WHERE r > n""",
