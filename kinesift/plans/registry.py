@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curation
+from . import curation, series_queries
 
-MODULES = (curation,)
+MODULES = (curation, series_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
