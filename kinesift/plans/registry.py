@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curation, series_queries
+from . import curation, decision_queries, series_queries
 
-MODULES = (curation, series_queries)
+MODULES = (curation, series_queries, decision_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
