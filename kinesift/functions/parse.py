@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .expr import UNIT, col
+from .expr import UNIT, col, measured
 
 # Fixed value: the grammar of file ids.
 FILE_ID = r"^V(\d{2})_S(\d{4})_I(\d{8})_P([A-Za-z0-9]+)$"
@@ -89,5 +89,15 @@ def unit_interval(hexes: Column) -> Column:
 
 
 def membership_hash(ids: str | Column) -> Column:
-    """Aggregate: sha256 of a group's sorted ids; equal for equal sets of ids."""
-    return F.sha2(F.array_join(F.array_sort(F.collect_list(col(ids).cast("string"))), UNIT), 256)
+    """Aggregate: a number (as text) that is equal for equal sets of unique ids: the sum of 60 bits of each one's sha256.
+
+    Sums combine before they shuffle, so a shard of any size is fingerprinted without being gathered.
+    """
+    return F.sum(F.conv(F.substring(F.sha2(col(ids).cast("string"), 256), 1, 15), 16, 10).cast("decimal(38,0)")).cast("string")
+
+
+def overlap_seconds(start: str | Column, end: str | Column, a: float, b: float) -> tuple[Column, Column]:
+    """Aggregates: how many sound intervals reach into [a, b), and their total length in it."""
+    s, e = measured(start), measured(end)
+    inside = (e > s) & (e > a) & (s < b)
+    return F.count_if(inside), F.coalesce(F.sum(F.when(inside, F.least(e, F.lit(b)) - F.greatest(s, F.lit(a)))), F.lit(0.0))

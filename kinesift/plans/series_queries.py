@@ -112,9 +112,8 @@ def speech_mask_intervals(spark, d):
 
 def interval_overlap_seconds(spark, d):
     """Speech of each clip within seconds 2 to 10, intervals cut and measured from there."""
-    s = table(spark, d, "clip_speech").groupBy("clip_id").agg(F.collect_list(F.struct(F.col("start_s").alias("start"), F.col("end_s").alias("end"))).alias("v"))
-    cut = parse.overlap_within(parse.intervals_of("v"), F.lit(2.0), F.lit(10.0))
-    return s.select("clip_id", F.size(cut).alias("n_intervals"), F.round(parse.total_length(cut), 6).alias("seconds"))
+    n, seconds = parse.overlap_seconds("start_s", "end_s", 2.0, 10.0)
+    return table(spark, d, "clip_speech").groupBy("clip_id").agg(n.alias("n_intervals"), F.round(seconds, 6).alias("seconds"))
 
 
 def asof_hold(spark, d):
@@ -246,7 +245,7 @@ FROM ok LEFT JOIN best USING (file_id, window_index) LEFT JOIN (SELECT * FROM r
     "speech_mask_intervals": """WITH i AS (SELECT clip_id, CAST(round_even(start_s * 30, 0) AS BIGINT) AS s, CAST(round_even(end_s * 30, 0) AS BIGINT) AS e FROM clip_speech WHERE isfinite(start_s) AND isfinite(end_s)),
 f AS (SELECT DISTINCT clip_id, unnest(range(greatest(0, s), least(1200, e))) AS frame FROM i WHERE e > s AND e > 0 AND s < 1200)
 SELECT clip_id, count(frame) AS speech_frames FROM (SELECT DISTINCT clip_id FROM clip_speech) LEFT JOIN f USING (clip_id) GROUP BY clip_id""",
-    "interval_overlap_seconds": """SELECT clip_id, CAST(count(*) FILTER (WHERE isfinite(start_s) AND isfinite(end_s) AND end_s > start_s AND end_s > 2 AND start_s < 10) AS INTEGER) AS n_intervals,
+    "interval_overlap_seconds": """SELECT clip_id, count(*) FILTER (WHERE isfinite(start_s) AND isfinite(end_s) AND end_s > start_s AND end_s > 2 AND start_s < 10) AS n_intervals,
   round(coalesce(sum(least(end_s, 10) - greatest(start_s, 2)) FILTER (WHERE isfinite(start_s) AND isfinite(end_s) AND end_s > start_s AND end_s > 2 AND start_s < 10), 0), 6) AS seconds FROM clip_speech GROUP BY clip_id""",
     "asof_hold": """WITH b AS (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'purchase' GROUP BY ALL), f AS (SELECT user_id, arg_min(value, ts) AS value FROM b GROUP BY user_id)
 SELECT v.event_id, coalesce(b.value, f.value) AS held FROM (SELECT * FROM events WHERE event_type = 'view') v ASOF LEFT JOIN b ON v.user_id = b.user_id AND v.ts >= b.ts LEFT JOIN f ON v.user_id = f.user_id""",
