@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import Durable
+
 # Letters of other scripts, each above the Latin letter it looks like. Digits, case and punctuation are told
 # apart by a reader, so none of them stands here.
 CYRILLIC = ("АВЕКМНОРСТХУҮЅІЈԌԚԜаеорсухѕіјһԁԛԝѵӏү", "ABEKMHOPCTXYYSIJGQWaeopcyxsijhdqwvly")
@@ -104,7 +106,7 @@ def twins(df: DataFrame, key: str, text: str) -> DataFrame:
     NULL keys or texts are left out; empty texts only equal those that are invisible; a repeated row counts once; an empty
     table gives an empty result; other columns are ignored.
     """
-    rows = skeletons(df, key, text)
+    rows = Durable(df.sparkSession).keep(skeletons(df, key, text))  # read four times below
     mixed = rows.groupBy("skeleton_hash").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b")).filter("a <> b").select("skeleton_hash")
     members = rows.join(mixed, "skeleton_hash").distinct()
     forms = members.select("skeleton_hash", "text_hash").distinct()
@@ -116,6 +118,6 @@ def twins(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def canonical(df: DataFrame, key: str, text: str) -> DataFrame:
     """One row a document: its consistent form, the smallest key of the documents that read the same, how many texts they have."""
-    rows = skeletons(df, key, text, with_text=True)
+    rows = Durable(df.sparkSession).keep(skeletons(df, key, text, with_text=True))
     classes = rows.groupBy("skeleton_hash").agg(F.min(key).alias("class_id"), F.count_distinct("text_hash").alias("n_forms"), F.count(F.lit(1)).alias("n_documents"))
     return rows.join(classes, "skeleton_hash").select(key, F.col("skeleton").alias("canonical_text"), "class_id", "n_forms", "n_documents")
