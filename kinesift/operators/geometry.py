@@ -123,6 +123,11 @@ def ragged(df: DataFrame, keys: Sequence[str], arrays: Sequence[str]) -> DataFra
     return df.filter(F.array_min(lengths) != F.array_max(lengths)).select(*keys, lengths.alias("lengths"))
 
 
+def as_points(flat: str | Column, n: int) -> Column:
+    """A flat (n, 3) array as n points of x, y and confidence; NULL parts beyond its end."""
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.struct(*[F.get(col(flat), 3 * k + i).cast("double").alias(c) for i, c in enumerate("xyc")]))
+
+
 # ---- keypoints -------------------------------------------------------------------------------------------------------
 def usable(p: Column) -> Column:
     """A 2-D point with finite values, not at the origin, of some confidence."""

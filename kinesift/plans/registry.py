@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import census_queries, curation, decision_queries, series_queries
+from . import census_queries, curation, decision_queries, geometry_queries, series_queries
 
-MODULES = (curation, series_queries, decision_queries, census_queries)
+MODULES = (curation, series_queries, decision_queries, census_queries, geometry_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
