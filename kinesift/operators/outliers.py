@@ -36,7 +36,7 @@ FIELDS = (
     Series("arm_speed", low=0.0, log=True, min_effect=1.0),
     Series("step_cosine", low=-1.0, high=1.0, min_effect=0.8),
     Series("step_cosine_right", low=-1.0, high=1.0, min_effect=0.8),
-    Series("hand_frozen", stuck=15, value=1.0, tails=False),
+    Series("hand_frozen", stuck=12, value=1.0, tails=False),
 )
 
 #: Frames of a block, and of its neighbours that it sees too. A stretch of readings goes on over at most MAX_GAP frames

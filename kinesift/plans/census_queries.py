@@ -225,7 +225,7 @@ _PATHS = """want AS (SELECT file_id, source_relbase || e AS relative_path, e AS
 have AS (SELECT relative_path, extension FROM want WHERE whole UNION ALL SELECT DISTINCT source_relbase || '.tmp.wav', '.wav' FROM clips_accepted)"""
 _LAST = "v AS (SELECT *, row_number() OVER (PARTITION BY review_item_id ORDER BY try_cast(recorded_utc AS TIMESTAMPTZ) DESC NULLS LAST, log_line DESC) AS r FROM verdicts)"
 _MERGED = """s AS (SELECT clip_id, CAST(round_even(start_s * 1000, 0) AS BIGINT) AS a, CAST(round_even(end_s * 1000, 0) AS BIGINT) AS b FROM clip_speech WHERE isfinite(start_s) AND isfinite(end_s)),
-ok AS (SELECT * FROM s WHERE b > a), l AS (SELECT *, max(b) OVER (PARTITION BY clip_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM ok),
+ok AS (SELECT * FROM s WHERE b > a), l AS (SELECT *, max(b) OVER (PARTITION BY clip_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM (SELECT DISTINCT * FROM ok)),
 k AS (SELECT *, sum(CASE WHEN m IS NULL OR a > m THEN 1 ELSE 0 END) OVER (PARTITION BY clip_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS k FROM l),
 p AS (SELECT clip_id, max(b) - min(a) AS n FROM k GROUP BY clip_id, k), merged AS (SELECT clip_id, CAST(sum(n) AS BIGINT) AS merged_ms FROM p GROUP BY 1), plain AS (SELECT clip_id, CAST(sum(b - a) AS BIGINT) AS plain_ms FROM ok GROUP BY 1)"""
 

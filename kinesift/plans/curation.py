@@ -25,7 +25,7 @@ WITH ranges AS (
   SELECT 'speech', clip_id, CAST(round_even(start_s * 1000, 0) AS BIGINT), CAST(round_even(end_s * 1000, 0) AS BIGINT)
   FROM clip_speech WHERE isfinite(start_s) AND isfinite(end_s)
 ), sound AS (
-  SELECT * FROM ranges WHERE t > s AND entity IS NOT NULL
+  SELECT DISTINCT * FROM ranges WHERE t > s AND entity IS NOT NULL
 ), led AS (
   SELECT *, max(t) OVER (PARTITION BY what, entity ORDER BY s, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM sound
 ), numbered AS (
