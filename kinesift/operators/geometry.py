@@ -94,7 +94,7 @@ def angular_speed(df: DataFrame, key: str, order: str, vector: str, joint: int,
     dot = F.lit(0.0)
     for i in range(4):
         dot = dot + F.col(f"_k_q{i}") * F.lag(f"_k_q{i}").over(b.w)
-    b.rows = b.rows.withColumn("_k_a", 2 * F.acos(F.least(F.lit(1.0), F.abs(dot))) * fps)
+    b.rows = b.rows.withColumn("_k_a", F.when(dot.isNotNull(), 2 * F.acos(F.least(F.lit(1.0), F.abs(dot))) * fps))
     return b.own(**{name: F.coalesce("_k_a", F.lead("_k_a").over(b.w), F.lit(0.0))})
 
 

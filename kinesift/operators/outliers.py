@@ -104,7 +104,8 @@ def judge_block(pdf: pd.DataFrame, fields: tuple[Series, ...], block: int) -> pd
         at, c = np.unique(np.clip(np.rint(r / STEP), -BINS, BINS).astype(np.int64), return_counts=True)
         out.append((at, np.zeros(len(at)), c, 2, k))
     if not out:
-        return pd.DataFrame({"file_id": [], "kind": [], "field": [], "at": [], "x": [], "n": []})
+        none = np.zeros(0, np.int64)
+        return pd.DataFrame({"file_id": np.zeros(0, object), "kind": none.astype(np.int32), "field": none.astype(np.int32), "at": none, "x": none.astype(float), "n": none})
     sizes = [len(o[0]) for o in out]
     return pd.DataFrame(
         {

@@ -128,7 +128,7 @@ _TRACK = _TRACK.split("\n")[1] + "\n" + _TRACK.split("\n")[0] + "\n" + "\n".join
 SQL = {
     "quaternion_speed": f"""WITH v AS (SELECT label, vec_id, {_e(6)} AS x, {_e(7)} AS y, {_e(8)} AS z FROM embeddings), n AS (SELECT *, sqrt(x * x + y * y + z * z) AS a FROM v),
 q AS (SELECT label, vec_id, cos(a / 2) AS w, CASE WHEN a > 1e-8 THEN sin(a / 2) / a ELSE 0 END AS f, x, y, z FROM n),
-s AS (SELECT label, vec_id, 60 * acos(least(1, abs(w * lag(w) OVER o + f * lag(f) OVER o * (x * lag(x) OVER o + y * lag(y) OVER o + z * lag(z) OVER o)))) AS s FROM q WINDOW o AS (PARTITION BY label ORDER BY vec_id))
+s AS (SELECT label, vec_id, CASE WHEN lag(w) OVER o IS NOT NULL THEN 60 * acos(least(1, abs(w * lag(w) OVER o + f * lag(f) OVER o * (x * lag(x) OVER o + y * lag(y) OVER o + z * lag(z) OVER o)))) END AS s FROM q WINDOW o AS (PARTITION BY label ORDER BY vec_id))
 SELECT vec_id, round(coalesce(s, lead(s) OVER (PARTITION BY label ORDER BY vec_id), 0), 4) AS angular_speed FROM s""",
     "hand_track": f"WITH {_POINTS}, {_TRACK} SELECT label, vec_id, round(hx, 6) AS hx, round(hy, 6) AS hy FROM t",
     "hand_step_cosine": f"""WITH {_POINTS}, {_TRACK}, x AS (SELECT vec_id, hx - lag(hx) OVER o AS ax, hy - lag(hy) OVER o AS ay, lead(hx) OVER o - hx AS bx, lead(hy) OVER o - hy AS by_ FROM t WINDOW o AS (PARTITION BY label ORDER BY vec_id)),
