@@ -63,18 +63,32 @@ def equal_runs(frame: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.repeat(np.diff(np.r_[at, len(x)]), np.diff(np.r_[at, len(x)]))
 
 
+def one_a_frame(frames: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
+    """Positions of the rows in order of frames; of rows that share one, the smallest column by column."""
+    o = np.argsort(frames, kind="stable")
+    f = frames[o]
+    first = np.r_[True, f[1:] != f[:-1]]
+    shared = ~first | np.r_[~first[1:], False]
+    if shared.any():
+        rows = o[shared]
+        o[shared] = rows[np.lexsort([c[rows] for c in reversed(columns)] + [frames[rows]])]
+    return o[first]
+
+
 def judge_block(pdf: pd.DataFrame, fields: tuple[Series, ...], block: int) -> pd.DataFrame:
     """Flags, candidates for spikes and residual counts of one block's own rows.
 
     kind 0: a flagged reading, at = frame; 1: a reading beyond min_effect, at = frame, x = residual;
     2: a bin of residuals, at = bin, n = count.
     """
-    pdf = pdf.sort_values(["frame", *[f.name for f in fields]], kind="stable").drop_duplicates("frame")
     frames, me = pdf["frame"].to_numpy(np.int64), int(pdf["block"].iloc[0])
+    columns = [pdf[f.name].to_numpy(np.float64, na_value=np.nan) for f in fields]
+    order = one_a_frame(frames, columns)
+    frames, columns = frames[order], [c[order] for c in columns]
     own_all = frames // block == me
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray, int, int]] = []
     for k, f in enumerate(fields):
-        x = pd.to_numeric(pdf[f.name], errors="coerce").to_numpy(np.float64, na_value=np.nan)
+        x = columns[k]
         ok = np.isfinite(x)
         x, fr, own = x[ok], frames[ok], own_all[ok]
         if not len(x):
@@ -142,8 +156,10 @@ def tail_cutoff(at: np.ndarray, n: np.ndarray, risk: float, sign: int, prior: fl
 def fit_source(pdf: pd.DataFrame, fields: tuple[Series, ...], risk: float) -> pd.DataFrame:
     """Upper and lower cutoff of every series of one source."""
     rows = []
-    for k, g in pdf.groupby("field"):
-        f, at, n = fields[int(k)], g["at"].to_numpy(), g["n"].to_numpy()
+    which, ats, ns = (pdf[c].to_numpy() for c in ("field", "at", "n"))
+    for k in np.unique(which):
+        mine = which == k
+        f, at, n = fields[int(k)], ats[mine], ns[mine]
         rows.append((pdf["file_id"].iloc[0], int(k), max(f.min_effect, tail_cutoff(at, n, risk, 1)), max(f.min_effect, tail_cutoff(at, n, risk, -1))))
     return pd.DataFrame(rows, columns=["file_id", "field", "upper", "lower"])
 
