@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -52,6 +55,14 @@ def pending(work: DataFrame, done: DataFrame, key: str, fingerprint: str) -> Dat
     return work.join(done.filter(F.col("fingerprint") == fingerprint).select(key), key, "left_anti")
 
 
+def fingerprint(params: dict, modules: Sequence = ()) -> str:
+    """sha256 of parameters and of the source of the modules that measure: changes whenever results could."""
+    h = hashlib.sha256(json.dumps(params, sort_keys=True, default=str).encode())
+    for m in modules:
+        h.update(inspect.getsource(m).encode())
+    return h.hexdigest()
+
+
 def markdown_table(df: DataFrame, columns: Sequence[str], most: int = 200) -> str:
     """A small aggregate as a Markdown table; missing values read "n/a". For summaries only: raises beyond ``most`` rows."""
     rows = df.select(*columns).limit(most + 1).collect()

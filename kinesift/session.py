@@ -38,6 +38,8 @@ def scratch_dir(spark: SparkSession) -> str:
     global _own_scratch
     if there := spark.conf.get("spark.checkpoint.dir", None):
         return there.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _own_scratch is None:
         _own_scratch = tempfile.mkdtemp(prefix="kinesift-")
         atexit.register(shutil.rmtree, _own_scratch, True)

@@ -98,6 +98,7 @@ def test_incremental_and_report(spark):
     clips = spark.createDataFrame([("V0", "l", "train", "f", 3600.0, 0.5)], "vendor string, label string, split string, file_id string, window_seconds double, gesture_quality double")
     text = sinks.report(clips, spark.createDataFrame([("x", None)], "stage string, n int"))
     assert "| V0 | l | 1 | 1.0 |" in text and "n/a" in text
+    assert handover.fingerprint({"a": 1}, [logs]) == handover.fingerprint({"a": 1}, [logs]) != handover.fingerprint({"a": 2}, [logs])
     assert "## Columns" in sinks.dataset_card(clips, "t")
 
 
