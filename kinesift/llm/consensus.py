@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,18 +34,14 @@ def standing_verdicts(log: DataFrame) -> DataFrame:
     return rows.groupBy("item", "who").agg(F.max_by(F.struct("label", "source"), F.struct("ts", "log_line", "label")).alias("x")).select("item", "who", "x.label", "x.source")
 
 
-def _digamma(x: Column) -> Column:
+def digamma(x: np.ndarray) -> np.ndarray:
     """Logarithmic derivative of the gamma function, for x > 0, by recurrence and series."""
+    x = np.asarray(x, float)
     y = x + 6
-    s = F.log(y) - 0.5 / y - 1 / (12 * y * y) + 1 / (120 * y * y * y * y)
+    out = np.log(y) - 0.5 / y - 1 / (12 * y * y) + 1 / (120 * y**4)
     for k in range(6):
-        s = s - 1 / (x + k)
-    return s
-
-
-def _digamma_number(x: float) -> float:
-    y = x + 6
-    return math.log(y) - 0.5 / y - 1 / (12 * y * y) + 1 / (120 * y**4) - sum(1 / (x + k) for k in range(6))
+        out = out - 1 / (x + k)
+    return out
 
 
 @dataclass
@@ -65,8 +63,8 @@ def consensus(labels: DataFrame, start: tuple[tuple[float, float], ...] = COMMUN
     is drawn towards its communities' by SHRINK labels, so that those with few labels lean on their type.
 
     All per-item and per-annotator values stay in tables; only the communities' few numbers come to the driver. Sums
-    combine before they shuffle, so an item or annotator with a large part of all labels is no burden. Rounds end where no
-    annotator's counts move by more than SETTLED of its labels, or after ``rounds``.
+    combine before they shuffle, so an item or annotator with a large part of all labels is no burden. Rounds end where the
+    communities' counts move by less than SETTLED of all labels, or after ``rounds``.
 
     Rows with a NULL, or y other than 0 and 1, are left out. Items without labels don't occur. An annotator with one label is
     judged by its community. An empty table gives empty results.
@@ -76,6 +74,7 @@ def consensus(labels: DataFrame, start: tuple[tuple[float, float], ...] = COMMUN
     m = len(start)
     votes = tables.keep(labels.filter("item IS NOT NULL AND who IS NOT NULL AND y IN (0, 1)").select("item", "who", F.col("y").cast("int").alias("y")))
     share = votes.groupBy("item").agg(((F.sum("y") + 0.5) / (F.count(F.lit(1)) + 1)).alias("q"))
+    model = Model(PRIOR * np.array([[[1 - a, a], [1 - b, b]] for a, b in start]), np.ones(m), np.ones(2))
 
     def counted(q: DataFrame) -> DataFrame:
         """n_ky: labels y of an annotator on items where k is right."""
@@ -86,65 +85,75 @@ def consensus(labels: DataFrame, start: tuple[tuple[float, float], ...] = COMMUN
             .agg(F.sum((1 - one) * (1 - y)).alias("n00"), F.sum((1 - one) * y).alias("n01"), F.sum(one * (1 - y)).alias("n10"), F.sum(one * y).alias("n11"))
         )
 
-    alpha = [[[PRIOR * (1 - a), PRIOR * a], [PRIOR * (1 - b), PRIOR * b]] for a, b in start]
-    size = [1.0] * m
-    prior = [1.0, 1.0]
-
-    def placed(counts: DataFrame) -> DataFrame:
-        """Adds r0..: the annotator's chance of belonging to each community."""
-        logs = []
-        for c in range(m):
-            x = F.lit(_digamma_number(size[c]) - _digamma_number(sum(size)))
-            for k in (0, 1):
-                for y in (0, 1):
-                    x = x + F.col(f"n{k}{y}") * (_digamma_number(alpha[c][k][y]) - _digamma_number(sum(alpha[c][k])))
-            logs.append(x)
-        df = counts.withColumn("l", F.array(*logs)).withColumn("e", F.expr("transform(l, x -> exp(x - array_max(l)))")).withColumn("z", F.expr("aggregate(e, 0D, (a, x) -> a + x)"))
-        return df.select(*counts.columns, *[(F.col("e")[c] / F.col("z")).alias(f"r{c}") for c in range(m)])
-
-    def own(k: int, y: int) -> Column:
-        """An annotator's pseudo-counts: its own and its communities'."""
-        x = F.col(f"n{k}{y}")
-        for c in range(m):
-            x = x + F.col(f"r{c}") * (SHRINK * alpha[c][k][y] / sum(alpha[c][k]))
-        return x
-
-    workers, old = tables.keep(placed(counted(share))), None
+    def each(df: DataFrame, f: Callable[[pd.DataFrame], pd.DataFrame], ddl: str) -> DataFrame:
+        return df.mapInPandas(lambda it: (f(p) for p in it if len(p)), ddl)
+
+    def items_of(workers: DataFrame, model: Model) -> DataFrame:
+        """Chance of each item that accept is right, from the expected log confusion of its annotators."""
+        weights = each(workers, model.weights, "who string, w0 double, w1 double")
+        base = float(digamma(model.prior[1]) - digamma(model.prior[0]))
+        odds = votes.join(weights, "who").groupBy("item").agg((F.sum(F.when(F.col("y") == 1, F.col("w1")).otherwise(F.col("w0"))) + base).alias("o"), F.sum("y").alias("n_accept"), F.sum(1 - F.col("y")).alias("n_reject"))
+        return odds.select("item", (1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), F.col("o")))))).alias("q"), "n_accept", "n_reject")
+
+    placed = "who string, n00 double, n01 double, n10 double, n11 double, " + ", ".join(f"r{c} double" for c in range(m))
+    cells = [(c, k, y) for c in range(m) for k in (0, 1) for y in (0, 1)]
+    workers = tables.keep(each(counted(share), model.placed, placed))
+    before = None
     for _ in range(rounds):
-        sums = workers.agg(*[F.sum(f"r{c}").alias(f"r{c}") for c in range(m)], *[F.sum(F.col(f"r{c}") * F.col(f"n{k}{y}")).alias(f"a{c}{k}{y}") for c in range(m) for k in (0, 1) for y in (0, 1)], *[F.sum(F.col(f"n{k}0") + F.col(f"n{k}1")).alias(f"p{k}") for k in (0, 1)]).head()
-        if sums is None or sums["p0"] is None:
+        sums = workers.agg(*[F.sum(f"r{c}").alias(f"r{c}") for c in range(m)], *[F.sum(F.col(f"r{c}") * F.col(f"n{k}{y}")).alias(f"a{c}{k}{y}") for c, k, y in cells], *[F.sum(F.col(f"n{k}0") + F.col(f"n{k}1")).alias(f"p{k}") for k in (0, 1)]).head()
+        if sums["p0"] is None:
+            break
+        soft = np.array([sums[f"a{c}{k}{y}"] for c, k, y in cells]).reshape(m, 2, 2)
+        base = PRIOR * np.array([[[1 - a, a], [1 - b, b]] for a, b in start])
+        model = Model(base + soft, np.array([1.0 + sums[f"r{c}"] for c in range(m)]), np.array([1.0 + sums["p0"], 1.0 + sums["p1"]]))
+        if before is not None and np.abs(soft - before).sum() < SETTLED * soft.sum():
             break
-        alpha = [[[PRIOR * s + (sums[f"a{c}{k}{y}"] or 0.0) for y, s in enumerate((1 - start[c][k], start[c][k]))] for k in (0, 1)] for c in range(m)]
-        size = [1.0 + sums[f"r{c}"] for c in range(m)]
-        prior = [1.0 + sums["p0"], 1.0 + sums["p1"]]
-        items = _items(votes, workers, own, prior)
-        old, workers = workers, tables.keep(placed(counted(items)))
-        if old is not None:
-            n = F.col("n00") + F.col("n01") + F.col("n10") + F.col("n11")
-            moved = workers.join(old.select("who", F.col("n00").alias("o00"), F.col("n11").alias("o11")), "who").agg(F.max((F.abs(F.col("n00") - F.col("o00")) + F.abs(F.col("n11") - F.col("o11"))) / n)).head()[0]
-            tables.drop(old)
-            if moved is None or moved < SETTLED:
-                break
-    right = (own(0, 0) / (own(0, 0) + own(0, 1)), own(1, 1) / (own(1, 0) + own(1, 1)))
-    p1 = prior[1] / sum(prior)
-    annotators = workers.select(
-        "who",
-        F.round(F.col("n00") + F.col("n01") + F.col("n10") + F.col("n11")).cast("bigint").alias("n_labels"),
-        (right[0] * (1 - p1) + right[1] * p1).alias("reliability"),
-        right[1].alias("sensitivity"),
-        right[0].alias("specificity"),
-        F.expr(f"array_position(array({', '.join(f'r{c}' for c in range(m))}), greatest({', '.join(f'r{c}' for c in range(m))}))").cast("int").alias("community"),
-    )
-    return Consensus(_items(votes, workers, own, prior).select("item", F.col("q").alias("accept_probability"), "n_accept", "n_reject"), annotators, [(a[0][1] / sum(a[0]), a[1][1] / sum(a[1]), (s - 1) / max(1.0, sum(size) - m)) for a, s in zip(alpha, size, strict=True)])
-
-
-def _items(votes: DataFrame, workers: DataFrame, own, prior: list[float]) -> DataFrame:
-    """Chance of each item that accept is right, from the expected log confusion of its annotators."""
-    says = {y: _digamma(own(1, y)) - _digamma(own(1, 0) + own(1, 1)) - _digamma(own(0, y)) + _digamma(own(0, 0) + own(0, 1)) for y in (0, 1)}
-    weights = workers.select("who", says[0].alias("w0"), says[1].alias("w1"))
-    base = _digamma_number(prior[1]) - _digamma_number(prior[0])
-    odds = votes.join(weights, "who").groupBy("item").agg((F.sum(F.when(F.col("y") == 1, F.col("w1")).otherwise(F.col("w0"))) + base).alias("o"), F.sum("y").alias("n_accept"), F.sum(1 - F.col("y")).alias("n_reject"))
-    return odds.select("item", (1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), F.col("o")))))).alias("q"), "n_accept", "n_reject")
+        before, old = soft, workers
+        workers = tables.keep(each(counted(items_of(workers, model)), model.placed, placed))
+        tables.drop(old)
+    items = items_of(workers, model).select("item", F.col("q").alias("accept_probability"), "n_accept", "n_reject")
+    annotators = each(workers, model.judged, "who string, n_labels bigint, reliability double, sensitivity double, specificity double, community int")
+    share_of = (model.size - 1) / max(1.0, model.size.sum() - m)
+    return Consensus(items, annotators, [(float(a[0, 1] / a[0].sum()), float(a[1, 1] / a[1].sum()), float(s)) for a, s in zip(model.alpha, share_of, strict=True)])
+
+
+@dataclass(frozen=True)
+class Model:
+    """What all annotators share: the communities' Dirichlet counts (community, right label, label), their sizes, the labels'."""
+
+    alpha: np.ndarray
+    size: np.ndarray
+    prior: np.ndarray
+
+    def placed(self, p: pd.DataFrame) -> pd.DataFrame:
+        """Adds r0..: each annotator's chance of belonging to each community."""
+        n = p[["n00", "n01", "n10", "n11"]].to_numpy()
+        logs = (digamma(self.alpha) - digamma(self.alpha.sum(axis=2, keepdims=True))).reshape(len(self.size), 4)
+        x = n @ logs.T + digamma(self.size) - digamma(self.size.sum())
+        x = np.exp(x - x.max(axis=1, keepdims=True))
+        x /= x.sum(axis=1, keepdims=True)
+        return p.assign(**{f"r{c}": x[:, c] for c in range(len(self.size))})
+
+    def own(self, p: pd.DataFrame) -> np.ndarray:
+        """Each annotator's pseudo-counts (annotator, right label, label): its own and its communities'."""
+        n = p[["n00", "n01", "n10", "n11"]].to_numpy().reshape(-1, 2, 2)
+        r = p[[f"r{c}" for c in range(len(self.size))]].to_numpy()
+        mean = self.alpha / self.alpha.sum(axis=2, keepdims=True)
+        return n + SHRINK * np.einsum("nc,cky->nky", r, mean)
+
+    def weights(self, p: pd.DataFrame) -> pd.DataFrame:
+        """What a label of each annotator adds to the log odds of its item: w0 for reject, w1 for accept."""
+        b = self.own(p)
+        e = digamma(b) - digamma(b.sum(axis=2, keepdims=True))
+        return pd.DataFrame({"who": p["who"], "w0": e[:, 1, 0] - e[:, 0, 0], "w1": e[:, 1, 1] - e[:, 0, 1]})
+
+    def judged(self, p: pd.DataFrame) -> pd.DataFrame:
+        b = self.own(p)
+        mean = b / b.sum(axis=2, keepdims=True)
+        p1 = self.prior[1] / self.prior.sum()
+        r = p[[f"r{c}" for c in range(len(self.size))]].to_numpy()
+        n = np.rint(p[["n00", "n01", "n10", "n11"]].to_numpy().sum(axis=1)).astype(np.int64)
+        return pd.DataFrame({"who": p["who"], "n_labels": n, "reliability": mean[:, 0, 0] * (1 - p1) + mean[:, 1, 1] * p1, "sensitivity": mean[:, 1, 1], "specificity": mean[:, 0, 0], "community": (r.argmax(axis=1) + 1).astype(np.int32)})
 
 
 def votes_of(log: DataFrame) -> DataFrame:
