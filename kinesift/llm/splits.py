@@ -138,13 +138,10 @@ def assigned(groups: DataFrame, shares: list[tuple[str, float]], bins: int = BIN
     return placed.join(tops, ["chunk", "bin"]).select("component", "split")
 
 
-def clip_files(clips: DataFrame) -> DataFrame:
-    """One row a file: its keys, distinct clips, and the smallest and largest split of its rows."""
-    return (
-        clips.filter(F.col("file_id").isNotNull())
-        .groupBy("file_id")
-        .agg(F.min("vendor").alias("vendor"), F.min("session_id").alias("session_id"), F.min("interaction_id").alias("interaction_id"), F.count_distinct("clip_id").alias("weight"), F.min("split").alias("lo"), F.max("split").alias("hi"))
-    )
+def clip_files(clips: DataFrame, weigh: bool = True) -> DataFrame:
+    """One row a file: its keys, the smallest and largest split of its rows, and (``weigh``) how many clips it has."""
+    more = [F.count_distinct("clip_id").alias("weight")] if weigh else []
+    return clips.filter(F.col("file_id").isNotNull()).groupBy("file_id").agg(F.min("vendor").alias("vendor"), F.min("session_id").alias("session_id"), F.min("interaction_id").alias("interaction_id"), F.min("split").alias("lo"), F.max("split").alias("hi"), *more)
 
 
 def file_links(files: DataFrame) -> DataFrame:
@@ -163,7 +160,7 @@ def file_links(files: DataFrame) -> DataFrame:
 
 def torn_files(clips: DataFrame) -> DataFrame:
     """Files whose group has rows in more than one split; NULL splits say nothing."""
-    files = Durable(clips.sparkSession).keep(clip_files(clips))
+    files = Durable(clips.sparkSession).keep(clip_files(clips, weigh=False))
     of = components(file_links(files), "file_id", "key")
     groups = files.join(of, "file_id")
     torn = groups.groupBy("component").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("component")
