@@ -83,10 +83,19 @@ def task_plan(n_rows: int | Column, tasks: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(tasks - 1)), lambda k: F.struct(k.alias("task"), (k * base + F.least(k, rest)).cast("bigint").alias("start"), ((k + 1) * base + F.least(k + 1, rest)).cast("bigint").alias("stop")))
 
 
-def lower_median_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The row at position (n - 1) // 2 of each group in order."""
-    w = Window.partitionBy(*keys)
-    return df.withColumn("_k_r", F.row_number().over(w.orderBy(*order))).withColumn("_k_n", F.count(F.lit(1)).over(w)).filter("_k_r - 1 = floor((_k_n - 1) / 2)").drop("_k_r", "_k_n")
+def lower_median_row(df: DataFrame, keys: list[str], value: str, tie: str) -> DataFrame:
+    """The row at position (n - 1) // 2 of each group by ``value``, then ``tie``. Unmeasured values are left out.
+
+    The median value is an aggregate of value counts that combines before the shuffle; only the rows that share it are put
+    in order. NULL keys form groups of their own.
+    """
+    rows = df.withColumn("_k_v", measured(value)).filter("_k_v IS NOT NULL").withColumns({f"_k_g{i}": F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")) for i, k in enumerate(keys)})
+    g = [f"_k_g{i}" for i in range(len(keys))]
+    middle = rows.groupBy(*g).agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY _k_v)").alias("_k_m"), F.count(F.lit(1)).alias("_k_n"))
+    at = rows.join(middle, g)
+    below = at.groupBy(*g).agg(F.count_if(F.col("_k_v") < F.col("_k_m")).alias("_k_below"))
+    ties = at.filter("_k_v = _k_m").join(below, g).withColumn("_k_r", F.row_number().over(Window.partitionBy(*g).orderBy(tie)))
+    return ties.filter("_k_below + _k_r - 1 = floor((_k_n - 1) / 2)").select(*df.columns)
 
 
 def even_picks(spans: DataFrame, key: str, start: str, stop: str, count: int) -> DataFrame:

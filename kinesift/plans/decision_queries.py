@@ -35,17 +35,19 @@ RAMPS = {
 DIMENSIONS = {"posture": ("height", "reach", "abduction", "spread"), "lasting": ("share",), "vigour": ("vigour",)}
 WEIGHTS = {"posture": 0.5, "lasting": 0.3, "vigour": 0.2}
 PARTS = [("gesture_frac_speech", 1.0, 0.4), ("posture_spread_mm", 320.0, 0.3), ("wrist_excursion_p90_mm", 300.0, 0.2), ("speech_seconds", 20.0, 0.1)]
-MEASURES = sorted({c for c, *_ in CLAUSES} | {c for c, *_ in RAMPS.values()} | {c for c, *_ in PARTS})
 
 
-def clips(spark: SparkSession, d: str) -> DataFrame:
-    """Accepted clips, each once: measures as exported first by run, then time."""
-    cols = ["file_id", "vendor", "label", "split", "session_id", "interaction_id", "interaction_type", "review_item_id", "start_frame", "end_frame", "window_seconds", "fps", "clip_score", "gesture_quality", "articulation_ratio"]
+def clips(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Accepted clips, each once, as exported first by run, then time. Only ``columns`` are read."""
     t = table(spark, d, "clips_accepted").filter("clip_id IS NOT NULL")
-    once = t.groupBy("clip_id").agg(F.min_by(F.struct(*dict.fromkeys(cols + MEASURES)), F.struct("run_id", "written_ts")).alias("x"))
+    once = t.groupBy("clip_id").agg(F.min_by(F.struct(*dict.fromkeys(columns)), F.struct("run_id", "written_ts")).alias("x"))
     return once.select("clip_id", "x.*")
 
 
+#: Columns that the clauses read.
+JUDGED = tuple(c for c, *_ in CLAUSES)
+
+
 def first_match_reason(spark, d):
     i = table(spark, d, "inventory")
     fps, n = measured("video_r_fps"), measured("video_nb_frames")
@@ -67,7 +69,7 @@ def eligibility_counts(spark, d):
 
 
 def ordered_gates(spark, d):
-    return rules.apply_clauses(clips(spark, d), CLAUSES).select("clip_id", "fail_reason", "qualifies")
+    return rules.apply_clauses(clips(spark, d, *JUDGED), CLAUSES).select("clip_id", "fail_reason", "qualifies")
 
 
 def gate_funnel_zero_filled(spark, d):
@@ -76,7 +78,7 @@ def gate_funnel_zero_filled(spark, d):
 
 
 def all_flags_concat(spark, d):
-    return rules.flag_clauses(clips(spark, d), CLAUSES).select("clip_id", "exclusion_flags", "fail_stage", "qualified")
+    return rules.flag_clauses(clips(spark, d, *JUDGED), CLAUSES).select("clip_id", "exclusion_flags", "fail_stage", "qualified")
 
 
 def qualification_funnel(spark, d):
@@ -85,19 +87,19 @@ def qualification_funnel(spark, d):
 
 
 def weighted_quality(spark, d):
-    return clips(spark, d).select("clip_id", F.round(rules.weighted_quality(RAMPS, DIMENSIONS, WEIGHTS), 6).alias("quality"))
+    return clips(spark, d, *(c for c, *_ in RAMPS.values())).select("clip_id", F.round(rules.weighted_quality(RAMPS, DIMENSIONS, WEIGHTS), 6).alias("quality"))
 
 
 def additive_clip_score(spark, d):
-    return clips(spark, d).select("clip_id", F.round(rules.additive_score(PARTS) + 1e-9, 6).alias("score"))
+    return clips(spark, d, *(c for c, *_ in PARTS)).select("clip_id", F.round(rules.additive_score(PARTS) + 1e-9, 6).alias("score"))
 
 
 def floored_ratio(spark, d):
-    return clips(spark, d).select("clip_id", F.round(rules.ratio_floored("arm_speed_speech_p50_mm_s", "speech_seconds", 10.0), 6).alias("ratio"))
+    return clips(spark, d, "arm_speed_speech_p50_mm_s", "speech_seconds").select("clip_id", F.round(rules.ratio_floored("arm_speed_speech_p50_mm_s", "speech_seconds", 10.0), 6).alias("ratio"))
 
 
 def qualify_summary(spark, d):
-    q = rules.flag_clauses(clips(spark, d), CLAUSES)
+    q = rules.flag_clauses(clips(spark, d, *JUDGED, "window_seconds", "file_id", "gesture_quality"), CLAUSES)
     ok, quality = F.col("qualified"), measured("gesture_quality")
     return q.agg(
         F.count(F.lit(1)).alias("clips_in"),
@@ -111,7 +113,7 @@ def qualify_summary(spark, d):
 
 
 def rethreshold(spark, d):
-    return clips(spark, d).filter(clause("gesture_quality", ">=", 0.6) & clause("consistency_r", ">=", 0.7)).select("clip_id")
+    return clips(spark, d, "gesture_quality", "consistency_r").filter(clause("gesture_quality", ">=", 0.6) & clause("consistency_r", ">=", 0.7)).select("clip_id")
 
 
 def greedy_overlap_select(spark, d):
@@ -122,12 +124,12 @@ def greedy_overlap_select(spark, d):
 def review_items(spark, d):
     """Clips rolled up to files; a file whose keys aren't all known is left out."""
     keys = ["file_id", "vendor", "label", "split", "session_id", "interaction_id", "interaction_type"]
-    c = clips(spark, d).dropna(subset=keys)
+    c = clips(spark, d, *keys, "window_seconds", "start_frame", "end_frame", "clip_score", "posture_spread_mm", "gesture_frac_speech", "sync_r").dropna(subset=keys)
     return c.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_clips"), F.sum("window_seconds").alias("seconds"), F.min("start_frame").alias("first_frame"), F.max("end_frame").alias("last_frame"), F.round(F.avg(measured("clip_score")) + 1e-9, 6).alias("score"), *[F.round(F.avg(measured(m)) + 1e-9, 6).alias(f"mean_{m}") for m in ("posture_spread_mm", "gesture_frac_speech", "sync_r")])
 
 
 def _items(spark, d):
-    c = clips(spark, d).withColumn("participant", F.concat_ws(":", "vendor", parse.file_id_parts("file_id")["participant_id"]))
+    c = clips(spark, d, "vendor", "file_id", "clip_score").withColumn("participant", F.concat_ws(":", "vendor", parse.file_id_parts("file_id")["participant_id"]))
     return c.groupBy("participant", "file_id").agg(F.round(F.avg(measured("clip_score")), 9).alias("score"))
 
 
@@ -155,14 +157,13 @@ def task_plan_parts(spark, d):
 
 
 def lower_median_clip(spark, d):
-    c = clips(spark, d).withColumn("q", measured("clip_score")).filter("q IS NOT NULL")
-    return selection.lower_median_row(c, ["file_id"], [F.col("q"), F.col("clip_id")]).select("file_id", "clip_id")
+    return selection.lower_median_row(clips(spark, d, "file_id", "clip_score"), ["file_id"], "clip_score", "clip_id").select("file_id", "clip_id")
 
 
 def quality_bands(spark, d):
     q = measured("gesture_quality")
     band = F.when(q < 0.5, "low").when(q < 0.7, "middle").when(q >= 0.7, "high").otherwise("unrated")
-    return clips(spark, d).groupBy("vendor", band.alias("band")).agg(F.count(F.lit(1)).alias("n"))
+    return clips(spark, d, "vendor", "gesture_quality").groupBy("vendor", band.alias("band")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def review_queue(spark, d):
@@ -174,7 +175,7 @@ def review_queue(spark, d):
 
 def agreement_confusion(spark, d):
     """Clip decisions rolled up to items against the last verdict of each item, by kind of reviewer."""
-    per_item = rules.flag_clauses(clips(spark, d), CLAUSES[:4]).groupBy("review_item_id").agg(F.bool_or("qualified").alias("qualified"))
+    per_item = rules.flag_clauses(clips(spark, d, *JUDGED[:4], "review_item_id"), CLAUSES[:4]).groupBy("review_item_id").agg(F.bool_or("qualified").alias("qualified"))
     last = census.latest_with_history(table(spark, d, "verdicts"), "review_item_id", parse.instant("recorded_utc"), "log_line", ["verdict", "verdict_source"], "reviewer", "verdict")
     v = last.withColumn("v", F.lower(F.trim("verdict"))).filter("v IN ('accept', 'reject')").join(per_item, "review_item_id")
     src = F.col("verdict_source")
@@ -182,24 +183,24 @@ def agreement_confusion(spark, d):
 
 
 def wilson_interval(spark, d):
-    g = clips(spark, d).groupBy("vendor").agg(F.count(F.lit(1)).alias("n"), F.count_if(clause("gesture_quality", ">=", 0.6)).alias("k"))
+    g = clips(spark, d, "vendor", "gesture_quality").groupBy("vendor").agg(F.count(F.lit(1)).alias("n"), F.count_if(clause("gesture_quality", ">=", 0.6)).alias("k"))
     lo, hi = rules.wilson("k", "n")
     return g.select("vendor", "k", "n", F.round(lo, 6).alias("low"), F.round(hi, 6).alias("high"))
 
 
 def quality_quantiles(spark, d):
-    q = rules.flag_clauses(clips(spark, d), CLAUSES).withColumn("q", measured("gesture_quality"))
+    q = rules.flag_clauses(clips(spark, d, *JUDGED, "gesture_quality"), CLAUSES).withColumn("q", measured("gesture_quality"))
     p = F.percentile("q", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
     return q.groupBy("qualified").agg(p.alias("p")).select("qualified", *[F.round(F.col("p")[k], 6).alias(n) for k, n in enumerate(("p10", "p50", "p90"))])
 
 
 def by_vendor_hours(spark, d):
-    return clips(spark, d).groupBy("vendor", "label").agg(F.count(F.lit(1)).alias("clips"), F.count_distinct("file_id").alias("files"), F.round(F.sum("window_seconds") / 3600, 6).alias("hours"))
+    return clips(spark, d, "vendor", "label", "file_id", "window_seconds").groupBy("vendor", "label").agg(F.count(F.lit(1)).alias("clips"), F.count_distinct("file_id").alias("files"), F.round(F.sum("window_seconds") / 3600, 6).alias("hours"))
 
 
 def sample_vs_population(spark, d):
     """Shares of labels in a seeded sample of clips next to those of all clips."""
-    c = clips(spark, d)
+    c = clips(spark, d, "label")
     s = selection.seeded_sample(c, "clip_id", "alder", 200)
     a = c.groupBy("label").agg(F.count(F.lit(1)).alias("n_all"))
     b = s.groupBy("label").agg(F.count(F.lit(1)).alias("n_sample"))

@@ -14,8 +14,9 @@ W, H = 300, 100
 K = ["file_id", "window_index"]
 
 
-def tracks(spark: SparkSession, d: str) -> DataFrame:
-    return series.one_row_a_frame(table(spark, d, "frame_tracks"))
+def tracks(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Frames of the files, repeated rows once. Only ``columns`` are read."""
+    return series.one_row_a_frame(table(spark, d, "frame_tracks").select("file_id", "frame", *columns))
 
 
 def _active():
@@ -24,7 +25,7 @@ def _active():
 
 def _track2(spark, d):
     """Two coordinates of a track: confidence, and the share of frozen hands as 0 or 1."""
-    return tracks(spark, d).select("file_id", "frame", "kp_conf", F.col("hand_frozen").cast("double").alias("hf"))
+    return tracks(spark, d, "kp_conf", "hand_frozen").select("file_id", "frame", "kp_conf", F.col("hand_frozen").cast("double").alias("hf"))
 
 
 def _rounded(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -41,12 +42,12 @@ def close_open_mask(spark, d):
 
 
 def closed_mask_frames(spark, d):
-    t = tracks(spark, d).select("file_id", "frame")
+    t = table(spark, d, "frame_tracks").select("file_id", "frame").distinct()
     return series.in_stretches(t, close_open_mask(spark, d), "file_id", "frame", "active")
 
 
 def hann_smooth(spark, d):
-    out = series.hann_smooth(tracks(spark, d).select("file_id", "frame", "kp_conf"), "file_id", "frame", ["kp_conf"])
+    out = series.hann_smooth(tracks(spark, d, "kp_conf"), "file_id", "frame", ["kp_conf"])
     return out.select("file_id", "frame", F.round("kp_conf_smooth", 6).alias("smooth"))
 
 
@@ -63,11 +64,11 @@ def step_cosine(spark, d):
 
 
 def frozen_frames(spark, d):
-    return series.frozen(tracks(spark, d).select("file_id", "frame", "arm_speed"), "file_id", "frame", "arm_speed").select("file_id", "frame", "frozen")
+    return series.frozen(tracks(spark, d, "arm_speed"), "file_id", "frame", "arm_speed").select("file_id", "frame", "frozen")
 
 
 def forward_fill(spark, d):
-    return series.forward_fill(tracks(spark, d).select("file_id", "frame", "arm_speed"), "file_id", "frame", "arm_speed").select("file_id", "frame", "filled")
+    return series.forward_fill(tracks(spark, d, "arm_speed"), "file_id", "frame", "arm_speed").select("file_id", "frame", "filled")
 
 
 def sliding_windows(spark, d):
@@ -76,32 +77,32 @@ def sliding_windows(spark, d):
 
 
 def window_measures(spark, d):
-    return _rounded(windows.window_measures(tracks(spark, d), W, H), K)
+    return _rounded(windows.window_measures(tracks(spark, d, "arm_speed", "step_cosine", "step_cosine_right", "hand_frozen", "speech", "smplh_valid", "kp_conf"), W, H), K)
 
 
 def episodes_in_speech(spark, d):
-    return _rounded(windows.episodes(tracks(spark, d), W, H), K)
+    return _rounded(windows.episodes(tracks(spark, d, "arm_speed", "speech"), W, H), K)
 
 
 def segments_covered(spark, d):
-    return _rounded(windows.segments_covered(tracks(spark, d), W, H), K)
+    return _rounded(windows.segments_covered(tracks(spark, d, "arm_speed", "speech"), W, H), K)
 
 
 def longest_invalid_run(spark, d):
-    return windows.longest_run(tracks(spark, d), ~F.col("smplh_valid"), W, H, "longest_invalid")
+    return windows.longest_run(tracks(spark, d, "smplh_valid", "speech", "arm_speed"), ~F.col("smplh_valid"), W, H, "longest_invalid")
 
 
 def excursion_range(spark, d):
-    return _rounded(windows.excursion(tracks(spark, d), ["arm_speed", "kp_conf"], W, H), K)
+    return _rounded(windows.excursion(tracks(spark, d, "arm_speed", "kp_conf"), ["arm_speed", "kp_conf"], W, H), K)
 
 
 def posture_spread(spark, d):
-    t = tracks(spark, d).withColumn("hf", F.col("hand_frozen").cast("double"))
+    t = tracks(spark, d, "kp_conf", "hand_frozen", "speech").withColumn("hf", F.col("hand_frozen").cast("double"))
     return _rounded(windows.posture_spread(t, ["kp_conf", "hf"], W, H, 30), K)
 
 
 def sync_xcorr(spark, d):
-    return _rounded(windows.sync_lag(tracks(spark, d), W, H), K)
+    return _rounded(windows.sync_lag(tracks(spark, d, "arm_speed", "speech"), W, H), K)
 
 
 def speech_mask_intervals(spark, d):
@@ -136,19 +137,19 @@ def end_to_end_picks(spark, d):
 
 
 def timeline_downsample(spark, d):
-    t = tracks(spark, d).select("file_id", "frame", measured("arm_speed").alias("v"))
+    t = tracks(spark, d, "arm_speed").select("file_id", "frame", measured("arm_speed").alias("v"))
     out = geometry.downsampled(t, "file_id", "frame", "v", 40)
     return out.select("file_id", "slot", "at", F.round("level", 6).alias("level"))
 
 
 def signal_envelope(spark, d):
-    t = tracks(spark, d).select("file_id", "frame", measured("arm_speed").alias("v"))
+    t = tracks(spark, d, "arm_speed").select("file_id", "frame", measured("arm_speed").alias("v"))
     return geometry.envelope(t, "file_id", "frame", "v", 50).select("file_id", "bin", F.round("lower", 6).alias("lower"), F.round("upper", 6).alias("upper"))
 
 
 def file_rollups(spark, d):
     """Shares and seconds of each file, and how many windows it holds."""
-    t = tracks(spark, d)
+    t = tracks(spark, d, "smplh_valid", "speech")
     g = t.groupBy("file_id").agg(F.count(F.lit(1)).alias("frames"), F.round(F.avg(F.col("smplh_valid").cast("int")), 6).alias("valid_frac"), F.round(F.count_if("speech") / 30.0, 6).alias("speech_seconds"), F.size(windows.sliding_windows(F.max("frame") + 1, W, H)).alias("n_windows"))
     return g
 
