@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import measured, rint
+from ..session import Durable
 
 #: Positions of one sweep block. After events at equal positions are added up, a block holds no more rows than this.
 BLOCK = 1 << 16
@@ -46,6 +47,7 @@ def merge_intervals(df: DataFrame, entity: str, start: str, end: str, block: int
         .filter((F.col("before") == 0) != (F.col("after") == 0))
         .select(e, b, p, (F.col("after") == 0).alias("is_gap"), F.lead(p).over(inside).alias("next"), F.row_number().over(inside).alias("k"))
     )
+    swept = Durable(df.sparkSession).keep(swept)  # boundaries only; read twice below, so that ranges are read once
     # The last boundary of a block continues at the first one of a later block: at most two rows a block meet here.
     whole = Window.partitionBy(e).orderBy(p)
     edges = (
