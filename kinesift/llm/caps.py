@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import col, measured
+from ..session import Durable
 
 #: Up to this cap the ranking keeps the best rows of every task before it shuffles (Spark's window group limit).
 SMALL_CAP = 1000
@@ -79,6 +80,7 @@ def stratified_cap(records: DataFrame, contributor: list[str | Column], record:
         .groupBy("id")
         .agg(F.min("c").alias("c"), F.min("s").alias("s"), F.max("q").alias("q"))
     )
+    rows = Durable(records.sparkSession).keep(rows)  # counted, ranked and joined below, but made once
     if cap is None:
         cap = int(rows.count() * share)
     quotas = stratum_quotas(rows.groupBy("c", "s").agg(F.count(F.lit(1)).alias("n")), cap, by)
