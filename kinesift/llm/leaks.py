@@ -3,22 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .confusables import FOLDED, fold
 
-#: Words of a pattern; a shared phrase shorter than this finds nothing.
-SEED_WORDS = 5
 #: Words of an item that must be found in its order.
 LEAST_WORDS = 16
-#: Score a passage must reach: its words found, less a point for each word changed, left out or put between.
-LEAST_SCORE = 14.5
-#: Cost of other matter put between two words of a passage that follow each other, at most.
-INSERTION = 4.0
+#: What tells a passage from stacked phrases: a phrase of so many words, or a stretch over single changed words of so many
+#: points, its words less one for each changed or put in. Sentences of one template with other words filled in reach 11 in sf0.1.
+LEAST_PHRASE, LEAST_POINTS = 8, 12
+#: Points of a stretch over single changed words that counts at any distance from another such; where an item goes on (one
+#: word left out at most), fewer do.
+APART_POINTS, ONWARD_POINTS = 8, 5
+#: Words on either side that may lie between near stretches, if neither has fewer than twice as many points.
+NEAR = 12
+#: Changed words in a row that a telling stretch may go over; more cost more than a phrase of seven words gives.
+ROW = 6
+#: Points that matter put in between two words of an item costs a stretch, at most.
+INSERTION = 4
+#: Letters that runs of fewer than five words must have where they don't begin and end with words of the text.
+INSIDE_LETTERS = 12
+#: Pairs of words side by side that such a stretch has at least; and steps from the first of a phrase's pairs to its last.
+LEAST_PAIRS, PHRASE_PAIRS = LEAST_POINTS - 1, LEAST_PHRASE - 2
 #: Items of one automaton; more of them are searched in blocks.
 ITEMS_AT_ONCE = 20_000
 
@@ -27,125 +39,153 @@ _DDL = "doc_key bigint, item_key bigint, n_words int, start_char int, end_char i
 
 
 class Passages:
-    """The automaton over all runs of SEED_WORDS words of the items, written without spaces and marks."""
-
-    def __init__(self, items: list[tuple[int, str]], seed: int = SEED_WORDS) -> None:
-        self.words = {i: fold(t).split() for i, t in items}
-        self.seed = seed
-        where: dict[str, list[tuple[int, int]]] = {}
-        for i, w in self.words.items():
-            for p in range(len(w) - seed + 1):
-                where.setdefault("".join(w[p : p + seed]), []).append((i, p))
+    """Seeds of the items: an automaton over every two words side by side, written without spaces and marks, and every two
+    words with one between them."""
+
+    def __init__(self, items: list[tuple[int, str]], least: int = LEAST_WORDS) -> None:
+        self.words = {i: w for i, t in items if len(w := fold(t).split()) >= least}
+        self.ids = list(self.words)
+        self.lists = list(self.words.values())
+        self.width = max(map(len, self.lists), default=1)
+        side: dict[str, list[tuple[int, int]]] = {}
+        apart: dict[tuple[str, str], list[tuple[int, int]]] = {}
+        for i, w in enumerate(self.lists):
+            for p in range(len(w) - 1):
+                side.setdefault(w[p] + w[p + 1], []).append((i, p))
+            for p in range(len(w) - 2):
+                apart.setdefault((w[p], w[p + 2]), []).append((i, p))
+        self.side, self.apart = list(side.values()), apart
+        self.places = [np.array([i * self.width + p for i, p in at]) for at in self.side]
         self.ac = ahocorasick.Automaton()
-        for text, places in where.items():
-            self.ac.add_word(text, (len(text), places))
-        if where:
+        for k, t in enumerate(side):
+            self.ac.add_word(t, (len(t), k))
+        if side:
             self.ac.make_automaton()
-        self.any = bool(where)
-
-    def runs(self, compact: str) -> dict[int, list[list[int]]]:
-        """Item -> exact runs [doc from, doc to, item word from, item word to), in order of the document."""
-        found: dict[int, dict[int, list[list[int]]]] = {}
-        for end, (n, places) in self.ac.iter(compact):
-            start = end + 1 - n
-            for item, p in places:
-                mine = found.setdefault(item, {})
-                # the run goes on where the pattern before it lies one word back and ends inside this one
-                last = mine.get(p - 1)
-                if last and last[-1][3] == p - 1 + self.seed and last[-1][0] < start and last[-1][1] <= end + 1 and last[-1][4] + len(self.words[item][p - 1]) == start:
-                    run = last.pop()
-                    run[1], run[3], run[4] = end + 1, p + self.seed, start
-                    mine.setdefault(p, []).append(run)
-                else:
-                    mine.setdefault(p, []).append([start, end + 1, p, p + self.seed, start])
-        return {i: sorted(r[:4] for rs in d.values() for r in rs) for i, d in found.items()}
-
-    def align(self, item: int, runs: list[list[int]], doc_words: list[str], doc_at: list[int]) -> tuple[int, float, int, int]:
-        """Best chain of runs: ``(words found in order, score, doc from, doc to)`` in compact characters."""
-        words = self.words[item]
-        index = {a: k for k, a in enumerate(doc_at)}
-        best: list[tuple[float, int, int]] = []
-        for k, (ds, de, a, b) in enumerate(runs):
-            top = (float(b - a), b - a, ds)
+        self.any = bool(side)
+
+    def runs(self, doc_words: list[str], compact: str) -> dict[int, list[list[int]]]:
+        """Index of item -> exact runs [doc from, doc to, item word from, item word to), in order of the document.
+
+        Only of items with LEAST_PAIRS pairs of words at different places, or those of a phrase side by side.
+        """
+        beside = [(end + 1 - n, k) for end, (n, k) in self.ac.iter(compact)]
+        if not beside:
+            return {}
+        places = np.concatenate([self.places[k] for k in {k for _, k in beside}])
+        n = np.bincount(places // self.width)
+        alive = {*np.flatnonzero(n >= LEAST_PAIRS).tolist()}
+        few = np.sort(places[(n < LEAST_PAIRS)[places // self.width]])
+        alive.update((few[PHRASE_PAIRS:][few[PHRASE_PAIRS:] - few[:-PHRASE_PAIRS] == PHRASE_PAIRS] // self.width).tolist())
+        if not alive:
+            return {}
+        found: dict[int, set[tuple[int, int]]] = {i: set() for i in alive}
+        kept: dict[int, list[tuple[int, int]]] = {}
+        for start, k in beside:
+            if k not in kept:
+                kept[k] = [x for x in self.side[k] if x[0] in alive]
+            for i, p in kept[k]:
+                found[i].add((start, p))
+                found[i].add((start + len(self.lists[i][p]), p + 1))
+        doc_at = _starts(doc_words)
+        for at, two in enumerate(zip(doc_words, doc_words[2:], strict=False)):
+            for i, p in self.apart.get(two, ()):
+                if i in alive:
+                    found[i].add((doc_at[at], p))
+                    found[i].add((doc_at[at + 2], p + 2))
+        edges = {*doc_at, len(compact)}
+        out = {}
+        for i, atoms in found.items():
+            w, mine, open_ = self.lists[i], [], {}
+            for start, p in sorted(atoms):
+                run = open_.pop((start, p), None)
+                if run is None:
+                    mine.append(run := [start, start, p, p])
+                run[1], run[3] = start + len(w[p]), p + 1
+                open_[run[1], run[3]] = run
+            out[i] = [r for r in mine if r[3] - r[2] >= 5 or r[1] - r[0] >= INSIDE_LETTERS or (r[0] in edges and r[1] in edges)]
+        return out
+
+    def align(self, runs: list[list[int]], index: dict[int, int]) -> tuple[int, int, int]:
+        """Most words found in order by a chain of runs that a passage has: ``(words, doc from, doc to)`` in compact characters."""
+        points = _stretches(runs, index, 1)
+        telling = [p >= LEAST_POINTS or b - a >= LEAST_PHRASE for p, (_, _, a, b) in zip(_stretches(runs, index, ROW), runs, strict=True)]
+        if not any(telling):
+            return 0, 0, 0
+        # most words of a chain up to a run, and where it starts: of any chain, and of one with a telling run
+        plain: list[tuple[int, int]] = []
+        sound: list[tuple[int, int] | None] = []
+        for k, run in enumerate(runs):
+            ds, _, a, b = run
+            before = []
             for j in range(k - 1, max(-1, k - 60), -1):
-                pds, pde, pa_, pb = runs[j]
-                if pde > ds or pb > a:
-                    continue
-                gap_item, lo, hi = a - pb, index.get(pde), index.get(ds)
-                if lo is None or hi is None:
-                    gap_doc, filled = (ds - pde) / 5.0, 0
-                else:
-                    gap_doc = hi - lo
-                    filled = _in_order(words[pb:a], doc_words[lo:hi]) if gap_item <= 12 and gap_doc <= 12 else 0
-                skipped, put = gap_item - filled, gap_doc - filled
-                cost = min(put, INSERTION) + skipped if skipped <= 1 else max(skipped, min(put, 4 * INSERTION))
-                s, m, start = best[j]
-                if s + b - a + filled - cost > top[0]:
-                    top = (s + b - a + filled - cost, m + b - a + filled, start)
-            best.append(top)
-        k = max(range(len(runs)), key=lambda k: best[k][0])
-        score, n, start = best[k]
-        end, last = runs[k][1], runs[k][3]
-        first = next(r[2] for r in runs if r[0] == start and r[2] <= runs[k][2])
-        s, m, end = self._extend(words[last:], doc_words, index.get(end), 1, doc_at, end)
-        score, n = score + s, n + m
-        lo = index.get(start)
-        s, m, start = self._extend(words[:first][::-1], doc_words, None if lo is None else lo - 1, -1, doc_at, start)
-        return n + m, score + s, start, end
-
-    @staticmethod
-    def _extend(rest: list[str], doc: list[str], at: int | None, way: int, doc_at: list[int], edge: int) -> tuple[float, int, int]:
-        """Goes on beyond a run word by word, over single changed words, as long as the score gains."""
-        best, score, n, keep, where = 0.0, 0.0, 0, 0, edge
-        if at is None:
-            return 0.0, 0, edge
-        misses = 0
-        for w in rest:
-            if not 0 <= at < len(doc):
-                break
-            if doc[at] == w:
-                score, n, misses = score + 1, n + 1, 0
-                if score > best:
-                    best, keep = score, n
-                    where = doc_at[at] + len(w) if way > 0 else doc_at[at]
-            else:
-                score, misses = score - 1, misses + 1
-                if misses > 2:
-                    break
-            at += way
-        return best, keep, where
-
-
-def _in_order(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence of two short word lists."""
-    row = [0] * (len(b) + 1)
-    for x in a:
-        diag = 0
-        for j, y in enumerate(b):
-            diag, row[j + 1] = row[j + 1], diag + 1 if x == y else max(row[j + 1], row[j])
-    return row[-1]
-
-
-def passages_in(text: str, p: Passages, least: int = LEAST_WORDS, score: float = LEAST_SCORE) -> list[tuple[int, int, int, int]]:
+                if runs[j][1] <= ds and runs[j][3] <= a:
+                    gap = _between(runs[j], run, index)
+                    few = min(points[j], points[k])
+                    if few >= (ONWARD_POINTS if a - runs[j][3] <= 1 else APART_POINTS) or gap <= 1 or (gap <= NEAR and few >= 2 * gap):
+                        before.append(j)
+            top = max((plain[j] for j in before), default=(0, -ds))
+            good = max((sound[j] for j in before if sound[j]), default=None)
+            plain.append((top[0] + b - a, top[1]))
+            sound.append(plain[k] if telling[k] else good and (good[0] + b - a, good[1]))
+        k = max((k for k in range(len(runs)) if sound[k]), key=lambda k: sound[k])
+        return sound[k][0], -sound[k][1], runs[k][1]
+
+
+def _starts(words: list[str]) -> list[int]:
+    """Where each word begins in the text without spaces."""
+    return [0, *accumulate(map(len, words))][: len(words)]
+
+
+def _words_between(lo: int | None, hi: int | None, letters: int) -> int:
+    """Words of the text between two runs; where it isn't written in words, by its letters."""
+    if lo is None or hi is None or 1 < hi - lo == letters:
+        return -(-letters // INSIDE_LETTERS)
+    return hi - lo
+
+
+def _between(before: list[int], after: list[int], index: dict[int, int]) -> int:
+    """Words between two runs that follow each other, in item or text, whichever are more."""
+    return max(after[2] - before[3], _words_between(index.get(before[1]), index.get(after[0]), after[0] - before[1]))
+
+
+def _stretches(runs: list[list[int]], index: dict[int, int], row: int) -> list[int]:
+    """Points of the best stretch that each run lies in: its words, less one for each word changed, left out or put in.
+
+    A stretch goes on over up to ``row`` changed words and over up to NEAR words put in.
+    """
+    size = [b - a for _, _, a, b in runs]
+    ends: dict[int, list[int]] = {}
+    links = []
+    for k, run in enumerate(runs):
+        for e in range(run[2] - row, run[2] + 1):
+            for j in ends.get(e, ()):
+                if runs[j][1] <= run[0] and (gap := _between(runs[j], run, index)) <= (row if e < run[2] else NEAR):
+                    links.append((j, k, gap if e < run[2] else min(gap, INSERTION)))
+        ends.setdefault(run[3], []).append(k)
+    upto, onward = list(size), list(size)
+    for j, k, gap in links:
+        upto[k] = max(upto[k], size[k] + upto[j] - gap)
+    for j, k, gap in reversed(links):
+        onward[j] = max(onward[j], size[j] + onward[k] - gap)
+    return [u + o - n for u, o, n in zip(upto, onward, size, strict=True)]
+
+
+def passages_in(text: str, p: Passages, least: int = LEAST_WORDS) -> list[tuple[int, int, int, int]]:
     """``(item, words, from, to)`` of the items whose passage the text holds, offsets in the text as it is."""
-    folded = fold(text)
-    doc_words = folded.split()
+    doc_words = fold(text).split()
     compact = "".join(doc_words)
-    found = p.runs(compact) if p.any else {}
-    out, doc_at, spans = [], None, None
-    for item, runs in found.items():
-        if sum(b - a for _, _, a, b in runs) < p.seed + 2 and len(runs) < 2:
+    found = p.runs(doc_words, compact) if p.any else {}
+    out, index, spans = [], None, None
+    for i, runs in found.items():
+        if sum(b - a for _, _, a, b in runs) < least:
             continue
-        if doc_at is None:
-            doc_at, n = [], 0
-            for w in doc_words:
-                doc_at.append(n)
-                n += len(w)
-        n_words, got, start, end = p.align(item, runs, doc_words, doc_at)
-        if n_words >= least and got >= score:
+        if index is None:
+            index = {a: k for k, a in enumerate([*_starts(doc_words), len(compact)])}
+        n_words, start, end = p.align(runs, index)
+        if n_words >= least:
             if spans is None:  # original position of every compact character
                 spans = [k for k, ch in enumerate(text) for c in FOLDED[ord(ch)] if c != " "]
-            out.append((item, n_words, spans[start], spans[end - 1] + 1))
+            out.append((p.ids[i], n_words, spans[start], spans[end - 1] + 1))
     return out
 
 
@@ -153,9 +193,14 @@ def leaked_passages(docs: DataFrame, doc: str, text: str, items: DataFrame, item
     """Every document and held-out item where the document holds ``least`` words of the item's passage in its order.
 
     Both sides are folded: look-alike letters, width and style forms, case, accents, punctuation, spacing and invisible
-    characters don't matter. One automaton over all runs of SEED_WORDS item words passes over each text once; exact runs are
-    chained in order, changed words and matter put in between cost points, and the best chain must hold ``least`` words and
-    LEAST_SCORE points, which phrases of fewer than eight words, however many, don't reach together.
+    characters don't matter. Seeds are any two item words side by side (one automaton passes over each text once), and any two
+    with one word between. Exact runs are chained in order; the chain of most words must hold ``least`` of them, and a phrase
+    of LEAST_PHRASE words or a stretch over single changed words and marks put in of LEAST_POINTS points, which short phrases, however many,
+    don't have: 16 words with up to four of theirs changed are found, longer ones down to runs of two words. Stretches of
+    APART_POINTS points count at any distance, of ONWARD_POINTS where the item goes on without a gap; shorter ones within NEAR
+    words of another, if they have twice the points of what lies between.
+    A text that keeps no phrase of eight words and changes more than that can't be told from another sentence of the same
+    template, and isn't found.
 
     Items are a stated set (300 here). They are read in blocks of ITEMS_AT_ONCE by id, each with its own automaton, so
     what a task holds is bounded; every document is scanned whole, none is left out.
@@ -184,7 +229,7 @@ def leaked_passages(docs: DataFrame, doc: str, text: str, items: DataFrame, item
 
 def _scanner(block: list[tuple[int, str]], least: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = Passages(block)
+        p = Passages(block, least)
         for b in it:
             rows = [(d, *hit) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for hit in passages_in(t, p, least)]
             if rows:

@@ -102,3 +102,23 @@ def test_offsets_point_into_the_original():
     text = "Ｎｏｔｅ​… " + items[3][1].upper() + " tail"
     (item, n, a, b), = leaks.passages_in(text, p)
     assert item == items[3][0] and n == 60 and leaks.fold(text[a:b]).split() == leaks.fold(items[3][1]).split()
+
+
+def test_single_changed_words_do_not_hide_a_passage():
+    rng, items = made(5)
+    p = leaks.Passages(items)
+    w = items[0][1].rstrip(".").split()
+    around = lambda x: " ".join(rng.choice(WORDS) for _ in range(20)) + " " + x + " " + " ".join(rng.choice(WORDS) for _ in range(20))
+    changed = lambda a, b, at: " ".join("zzz" if i in at else w[i] for i in range(a, b))
+    for a, b, at in ((0, 17, {8}), (5, 25, {11, 18}), (30, 53, {36, 42, 48}), (10, 34, {14, 19, 24, 29}), (20, 41, {26, 31, 36}), (0, 60, set(range(2, 60, 3)))):
+        hits = leaks.passages_in(around(changed(a, b, at)), p)
+        assert [(h[0], h[1] >= b - a - len(at)) for h in hits] == [(items[0][0], True)], (a, b)
+    assert leaks.passages_in(around(changed(0, 8, ())) + " " + around(changed(30, 38, ())), p)[0][1] == 16
+    assert leaks.passages_in(around(changed(0, 15, ())), p) == []
+    assert leaks.passages_in(" ".join(around(changed(a, a + 7, ())) for a in (0, 14, 28, 42)), p) == []
+
+
+def test_another_sentence_of_a_template_is_not_a_passage():
+    say = "so {} voices filled the {} while the {} showed a warning my {} felt {} and {} folded {} carpets before {} near the {} bridge"  # no phrase of eight words
+    item, other = (say.format(*(f"{c}{k}" for k in range(9))) for c in ("one", "two"))
+    assert leaks.passages_in(other, leaks.Passages([(1, item)])) == []
