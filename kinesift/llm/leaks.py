@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -38,6 +39,32 @@ _OUT = pa.schema([("doc_key", pa.int64()), ("item_key", pa.int64()), ("n_words",
 _DDL = "doc_key bigint, item_key bigint, n_words int, start_char int, end_char int"
 
 
+class _Best:
+    """Largest value put at or before a place (from 1 on): a Fenwick tree of maxima that grows as it is filled."""
+
+    def __init__(self) -> None:
+        self.tree: dict[int, tuple[int, int]] = {}
+        self.size = 1
+
+    def put(self, place: int, value: tuple[int, int]) -> None:
+        while self.size < place:  # a longer tree: its new last node holds all before it
+            old = self.tree.get(self.size)
+            self.size *= 2
+            if old:
+                self.tree[self.size] = old
+        while place <= self.size:
+            self.tree[place] = max(self.tree.get(place, value), value)
+            place += place & -place
+
+    def upto(self, place: int) -> tuple[int, int] | None:
+        best, place = None, min(place, self.size)
+        while place:
+            if place in self.tree and (best is None or self.tree[place] > best):
+                best = self.tree[place]
+            place -= place & -place
+        return best
+
+
 class Passages:
     """Seeds of the items: an automaton over every two words side by side, written without spaces and marks, and every two
     words with one between them."""
@@ -114,17 +141,40 @@ class Passages:
         # most words of a chain up to a run, and where it starts: of any chain, and of one with a telling run
         plain: list[tuple[int, int]] = []
         sound: list[tuple[int, int] | None] = []
+        at = list(index)  # where words begin
+        by_end = sorted((run[1], k) for k, run in enumerate(runs))
+        ended, far_plain, far_sound = 0, _Best(), _Best()
+        on_plain: dict[int, tuple[int, int]] = {}
+        on_sound: dict[int, tuple[int, int]] = {}
         for k, run in enumerate(runs):
             ds, _, a, b = run
-            before = []
-            for j in range(k - 1, max(-1, k - 60), -1):
-                if runs[j][1] <= ds and runs[j][3] <= a:
+            while ended < len(by_end) and by_end[ended][0] <= ds:
+                j = by_end[ended][1]
+                if points[j] >= APART_POINTS:
+                    far_plain.put(runs[j][3], plain[j])
+                    if sound[j]:
+                        far_sound.put(runs[j][3], sound[j])
+                if points[j] >= ONWARD_POINTS:  # one best of each end suffices
+                    e = runs[j][3]
+                    on_plain[e] = max(on_plain.get(e, plain[j]), plain[j])
+                    if sound[j]:
+                        on_sound[e] = max(on_sound.get(e, sound[j]), sound[j])
+                ended += 1
+            tops, goods = [(0, -ds)], [None]
+            if points[k] >= APART_POINTS:
+                tops.append(far_plain.upto(a))
+                goods.append(far_sound.upto(a))
+            if points[k] >= ONWARD_POINTS:
+                tops += [on_plain.get(a), on_plain.get(a - 1)]
+                goods += [on_sound.get(a), on_sound.get(a - 1)]
+            least = min(ds - NEAR * INSIDE_LETTERS, at[max(0, index[ds] - NEAR)] if ds in index else ds)
+            for _, j in by_end[bisect_left(by_end, (least, 0)) : ended]:
+                if 0 <= a - runs[j][3] <= NEAR:
                     gap = _between(runs[j], run, index)
-                    few = min(points[j], points[k])
-                    if few >= (ONWARD_POINTS if a - runs[j][3] <= 1 else APART_POINTS) or gap <= 1 or (gap <= NEAR and few >= 2 * gap):
-                        before.append(j)
-            top = max((plain[j] for j in before), default=(0, -ds))
-            good = max((sound[j] for j in before if sound[j]), default=None)
+                    if gap <= 1 or (gap <= NEAR and min(points[j], points[k]) >= 2 * gap):
+                        tops.append(plain[j])
+                        goods.append(sound[j])
+            top, good = max(filter(None, tops)), max(filter(None, goods), default=None)
             plain.append((top[0] + b - a, top[1]))
             sound.append(plain[k] if telling[k] else good and (good[0] + b - a, good[1]))
         k = max((k for k in range(len(runs)) if sound[k]), key=lambda k: sound[k])

@@ -122,3 +122,25 @@ def test_another_sentence_of_a_template_is_not_a_passage():
     say = "so {} voices filled the {} while the {} showed a warning my {} felt {} and {} folded {} carpets before {} near the {} bridge"  # no phrase of eight words
     item, other = (say.format(*(f"{c}{k}" for k in range(9))) for c in ("one", "two"))
     assert leaks.passages_in(other, leaks.Passages([(1, item)])) == []
+
+
+def test_parts_are_linked_over_any_number_of_stray_runs():
+    _, items = made(6)
+    w = items[0][1].rstrip(".").split()
+    head, part = " ".join(w[:6]), w[20:36]
+    heads = lambda x: " ".join([head, *(f"{x}{k}" for k in range(7))] * 9)
+    item = heads("one") + " " + " ".join(part)
+    p = leaks.Passages([(1, item)])
+    text = " ".join(part[:8]) + " " + heads("two") + " " + " ".join(part[8:])
+    (_, n, a, b), = leaks.passages_in(text, p)
+    assert (n, text[a:b]) == (16, text)
+
+
+def test_best_before_a_place_against_a_loop():
+    rng = random.Random(7)
+    tree, put = leaks._Best(), []
+    for _ in range(400):
+        x = rng.randrange(1, 300)
+        assert tree.upto(x) == max((v for q, v in put if q <= x), default=None)
+        put.append((rng.randrange(1, 300), (rng.randrange(50), rng.randrange(50))))
+        tree.put(*put[-1])
