@@ -11,24 +11,28 @@ from pyspark.sql import functions as F
 from ..functions.expr import measured
 from .intervals import merge_intervals
 
-#: Positions of a block, and of its neighbours that it sees too.
+#: Rows of a block, and of its neighbours that it sees too.
 BLOCK, HALO = 4096, 64
 
 
 class Blocks:
-    """Rows of ``df`` by key and block of ``order`` (whole numbers), each block with ``halo`` positions of its neighbours.
+    """Rows of ``df`` by key and block of their place in the ``order`` (whole numbers), each block with ``halo`` rows of its neighbours.
 
-    Window functions over ``w`` that look at rows no further than ``halo`` positions away are right for the block's own
-    rows; ``own`` keeps those. A row without a neighbour there stands at an end of its series.
+    Window functions over ``w`` that look at rows no further than ``halo`` rows away are right for the block's own rows,
+    however far apart their positions are; ``own`` keeps those. Places are counted within blocks of positions first, and
+    the rows of the blocks before are added.
     """
 
     def __init__(self, df: DataFrame, key: str, order: str, halo: int = HALO, block: int = BLOCK) -> None:
-        o = F.col(order)
-        home = F.floor(o / F.lit(block))
-        seen = F.array_distinct(F.array(home, F.floor((o - halo) / F.lit(block)), F.floor((o + halo) / F.lit(block))))
         self.columns = df.columns
-        self.rows = df.filter(F.col(key).isNotNull() & o.isNotNull()).withColumn("_k_b", F.explode(seen)).withColumn("_k_own", F.col("_k_b") == home)
-        self.w: WindowSpec = Window.partitionBy(key, "_k_b").orderBy(order)
+        rows = df.filter(F.col(key).isNotNull() & F.col(order).isNotNull()).withColumn("_k_p", F.floor(F.col(order) / F.lit(block)))
+        by = Window.partitionBy(key).orderBy("_k_p").rowsBetween(Window.unboundedPreceding, -1)
+        before = rows.groupBy(key, "_k_p").agg(F.count(F.lit(1)).alias("_k_n")).select(key, "_k_p", F.coalesce(F.sum("_k_n").over(by), F.lit(0)).alias("_k_n"))
+        rows = rows.join(before, [key, "_k_p"]).withColumn("_k_r", F.col("_k_n") + F.row_number().over(Window.partitionBy(key, "_k_p").orderBy(order)) - 1)
+        r = F.col("_k_r")
+        seen = F.sequence(F.floor(F.greatest(r - halo, F.lit(0)) / F.lit(block)), F.floor((r + halo) / F.lit(block)))
+        self.rows = rows.withColumn("_k_b", F.explode(seen)).withColumn("_k_own", F.col("_k_b") == F.floor(r / F.lit(block)))
+        self.w: WindowSpec = Window.partitionBy(key, "_k_b").orderBy("_k_r")
         self.whole: WindowSpec = Window.partitionBy(key, "_k_b")
 
     def own(self, **new: Column) -> DataFrame:
@@ -83,7 +87,7 @@ def central_speed(df: DataFrame, key: str, order: str, axes: Sequence[str], fps:
 
 def rolling_travel(df: DataFrame, key: str, order: str, axes: Sequence[str], half: int, name: str = "travel") -> DataFrame:
     """Diagonal of the box that a track stays in over ``half`` rows to either side."""
-    b = Blocks(df, key, order)
+    b = Blocks(df, key, order, halo=max(HALO, half))
     w = b.w.rowsBetween(-half, half)
     return b.own(**{name: _norm([F.max(F.col(a).cast("double")).over(w) - F.min(F.col(a).cast("double")).over(w) for a in axes])})
 

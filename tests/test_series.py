@@ -92,3 +92,24 @@ def test_frozen_needs_measured_values(spark):
     nan = float("nan")
     df = spark.createDataFrame([("a", 0, [1.0]), ("a", 1, [1.0]), ("a", 2, [nan]), ("a", 3, [nan]), ("a", 4, [2.0])], "k string, t int, v array<double>")
     assert [r.frozen for r in series.frozen(df, "k", "t", "v").orderBy("t").collect()] == [False, True, False, False, False]
+
+
+def test_neighbours_count_by_rows_at_any_gap(spark):
+    from kinesift.operators import geometry
+
+    rng = np.random.default_rng(5)
+    n = 300
+    rows = pd.DataFrame({"k": "a", "t": np.arange(n), "x": rng.normal(size=n), "y": rng.normal(size=n), "z": rng.integers(0, 2, size=n).astype(float)})
+    rows["v"] = list(rng.normal(size=(n, 3)))
+    dense = spark.createDataFrame(rows)
+    wide = dense.withColumn("t", F.col("t") * 997 - 40_000)
+    for run, name in (
+        (lambda d: series.hann_smooth(d, "k", "t", ["x"]), "x_smooth"),
+        (lambda d: series.central_speed(d, "k", "t", ["x", "y"], 30.0), "speed"),
+        (lambda d: series.rolling_travel(d, "k", "t", ["x", "y"], 70), "travel"),
+        (lambda d: series.step_cosine(d, "k", "t", ["x", "y"]), "cosine"),
+        (lambda d: series.frozen(d, "k", "t", "z"), "frozen"),
+        (lambda d: geometry.angular_speed(d, "k", "t", "v", 0, 30.0), "angular_speed"),
+    ):
+        got, want = ([r[name] for r in run(d).orderBy("t").collect()] for d in (wide, dense))
+        assert got == want and len(got) == n, name
