@@ -139,13 +139,13 @@ def assigned(groups: DataFrame, shares: list[tuple[str, float]], bins: int = BIN
 
 
 def clip_files(clips: DataFrame, weigh: bool = True) -> DataFrame:
-    """One row a file: its keys, the smallest and largest split of its rows, and (``weigh``) how many clips it has."""
+    """One row a file: the smallest and largest split of its rows, and (``weigh``) how many clips it has."""
     more = [F.count_distinct("clip_id").alias("weight")] if weigh else []
-    return clips.filter(F.col("file_id").isNotNull()).groupBy("file_id").agg(F.min("vendor").alias("vendor"), F.min("session_id").alias("session_id"), F.min("interaction_id").alias("interaction_id"), F.min("split").alias("lo"), F.max("split").alias("hi"), *more)
+    return clips.filter(F.col("file_id").isNotNull()).groupBy("file_id").agg(F.min("split").alias("lo"), F.max("split").alias("hi"), *more)
 
 
-def file_links(files: DataFrame) -> DataFrame:
-    """``file_id, key``: what links files. A key of which a part is missing links nothing."""
+def file_links(clips: DataFrame) -> DataFrame:
+    """``file_id, key``: what links files, by every key that any of a file's rows has. A key of which a part is missing links nothing."""
 
     def key(kind: str, *parts: Column) -> Column:
         ok = F.lit(True)
@@ -155,13 +155,14 @@ def file_links(files: DataFrame) -> DataFrame:
 
     p = participant_of("file_id")
     keys = F.array(key("p", F.col("vendor"), F.when(p != "", p)), key("s", F.col("vendor"), F.col("session_id")), key("i", F.col("interaction_id")))
-    return files.select("file_id", F.explode(keys).alias("key"))
+    rows = clips.filter(F.col("file_id").isNotNull()).select("file_id", "vendor", "session_id", "interaction_id").distinct()
+    return rows.select("file_id", F.explode(keys).alias("key")).distinct()
 
 
 def torn_files(clips: DataFrame) -> DataFrame:
     """Files whose group has rows in more than one split; NULL splits say nothing."""
     files = Durable(clips.sparkSession).keep(clip_files(clips, weigh=False))
-    of = components(file_links(files), "file_id", "key")
+    of = components(file_links(clips), "file_id", "key")
     groups = files.join(of, "file_id")
     torn = groups.groupBy("component").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi").select("component")
     return groups.join(torn, "component", "left_semi").select("file_id")
@@ -175,6 +176,6 @@ def grouped_splits(clips: DataFrame, targets: DataFrame) -> DataFrame:
     """
     shares = [(r.split, float(r.target_share)) for r in targets.select("split", "target_share").dropna().orderBy("split").collect()]
     files = Durable(clips.sparkSession).keep(clip_files(clips))
-    of = Durable(clips.sparkSession).keep(components(file_links(files), "file_id", "key"))
+    of = Durable(clips.sparkSession).keep(components(file_links(clips), "file_id", "key"))
     groups = files.join(of, "file_id").groupBy("component").agg(F.sum("weight").alias("weight"))
     return of.join(assigned(groups, shares), "component").select("file_id", "component", "split")

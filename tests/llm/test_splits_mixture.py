@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from kinesift.llm import mixture, splits
 from kinesift.session import table
@@ -115,3 +116,9 @@ def test_tokens_of_whole_texts(spark):
     n = {r.id: r.n_tokens for r in mixture.token_counts(docs, "t", ["id"]).collect()}
     assert n[1] == 2 and n[2] == 0 and 3 not in n and n[4] > 20_000
     assert [r[0] for r in spark.createDataFrame([("EN",), (" de",), (None,), ("english",)], "l string").select(mixture.language("l")).collect()] == ["en", "de", "und", "und"]
+
+
+def test_every_key_of_a_file_links_it(spark):
+    rows = [(f"V1_S1_I1_P{p}", "v", s, i, split) for p, s, i, split in (("A", "s1", "i1", "train"), ("A", "s2", None, "train"), ("B", "s2", "i2", "test"), ("C", "s3", "i2", "test"), ("C", "s4", "i9", None), ("D", "s5", "i9", "test"), ("E", "s6", "i6", "dev"))]
+    clips = spark.createDataFrame(rows, "file_id string, vendor string, session_id string, interaction_id string, split string").withColumn("clip_id", F.monotonically_increasing_id())
+    assert sorted(r.file_id[-1] for r in splits.torn_files(clips).collect()) == ["A", "B", "C", "D"]
