@@ -43,7 +43,7 @@ def p2_vendor_percentiles(spark: SparkSession, d: str) -> DataFrame:
     """Percentiles of vendors from the states of their days, exact over the clips."""
     days = percentiles.day_states(table(spark, d, "clips_accepted"))
     keys = ["vendor", "measure_name"]
-    out = percentiles.percentiles(percentiles.merge_states(days, keys), keys, [0.05, 0.25, 0.5, 0.75, 0.95])
+    out = percentiles.percentiles(percentiles.merge_states(days, keys), keys, [0.05, 0.25, 0.5, 0.75, 0.95], settle=16)
     return out.select(*keys, "prob", F.round("percentile", 6).alias("percentile"), "n_values", F.lit(0.0).alias("max_error"))
 
 

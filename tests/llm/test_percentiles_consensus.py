@@ -18,8 +18,8 @@ def test_multi_select_is_exact_and_states_merge(spark):
     for g in {r[0] for r in rows} - {"e"}:
         v = [r[2] for r in rows if r[0] == g and r[2] is not None and np.isfinite(r[2])]
         want |= {(g, p): (np.percentile(v, p * 100), len(v)) for p in probs}
-    for settle in (4096, 3):  # at once, and by rounds of pivots
-        got = {(r.g, r.prob): (r.percentile, r.n_values) for r in percentiles.percentiles(whole, ["g"], probs, fragments=3, settle=settle).collect()}
+    for settle, fragment in ((4096, 1 << 20), (3, 100), (0, 1)):  # at once, by rounds of pivots, down to the last value
+        got = {(r.g, r.prob): (r.percentile, r.n_values) for r in percentiles.percentiles(whole, ["g"], probs, settle=settle, fragment=fragment).collect()}
         assert set(got) == set(want)
         assert all(got[k][1] == want[k][1] and got[k][0] == pytest.approx(want[k][0], abs=1e-9) for k in want)
 
