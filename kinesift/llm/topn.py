@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -13,15 +12,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import measured
+from ..session import Durable
 
 #: Rows of a sorted run at most. A run is cut to N + 1 rows a group before it is stored.
 RUN_ROWS = 250_000
-#: Runs merged by one task at the first level; the second level merges what those leave.
+#: Runs that one merge takes in at most; more of them are merged in levels.
 FAN_IN = 64
 
-_RUNS = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("run", pa.string()), ("seq", pa.int64()), ("g", pa.string()), ("score", pa.float64()), ("tie", pa.string())])
-RUNS_DDL = "bucket bigint, part bigint, run string, seq bigint, g string, score double, tie string"
+_RUNS = pa.schema([("bucket", pa.int32()), ("run", pa.int64()), ("seq", pa.int32()), ("g", pa.string()), ("score", pa.float64()), ("tie", pa.string())])
+RUNS_DDL = "bucket int, run bigint, seq int, g string, score double, tie string"
+_MERGED = pa.schema([("g", pa.string()), ("tie", pa.string()), ("score", pa.float64()), ("rank", pa.int32()), ("has_more", pa.bool_())])
 MERGED_DDL = "g string, tie string, score double, rank int, has_more boolean"
+#: Runs of one task are numbered in this many steps.
+RUNS_A_TASK = 1 << 20
 
 
 class LoserTree:
@@ -95,41 +98,107 @@ def merge_top(runs: list[list[tuple[str, float, str]]], n: int) -> Iterator[tupl
             yield group, tie, -neg, k + 1, more
 
 
-def sorted_run(t: pa.Table, n: int, buckets: int, run: str, part: int) -> pa.RecordBatch | None:
-    """One run: rows in order of (group, score descending, tie), repeated rows once, no more than n + 1 rows a group."""
-    if not t.num_rows:
-        return None
-    t = t.take(pc.sort_indices(t, sort_keys=[("g", "ascending"), ("score", "descending"), ("tie", "ascending")])).combine_chunks()
-    g, s, tie = (t.column(c).dictionary_encode().combine_chunks().indices.to_numpy() if c != "score" else t.column(c).to_numpy() for c in ("g", "score", "tie"))
-    new_g = np.r_[True, g[1:] != g[:-1]]
-    new = new_g | np.r_[True, (s[1:] != s[:-1]) | (tie[1:] != tie[:-1])]
+def _starts(column: pa.ChunkedArray) -> np.ndarray:
+    """Where rows differ from the one before, as a mask."""
+    x = column.combine_chunks().dictionary_encode().indices.to_numpy() if pa.types.is_string(column.type) else column.to_numpy()
+    return np.r_[True, x[1:] != x[:-1]] if len(x) else np.zeros(0, bool)
+
+
+def _places(first: np.ndarray) -> np.ndarray:
+    """Place of each row in its stretch, from 0, for a mask of where stretches begin."""
+    at = np.flatnonzero(first)
+    return np.arange(len(first)) - np.repeat(at, np.diff(np.r_[at, len(first)]))
+
+
+def sorted_run(t: pa.Table, n: int, run: int) -> pa.RecordBatch:
+    """One run of (bucket, g, score, tie): rows in order of bucket, group, score descending and tie, repeated rows once, no
+    more than n + 1 rows a group, numbered inside their group."""
+    t = t.take(pc.sort_indices(t, sort_keys=[("bucket", "ascending"), ("g", "ascending"), ("score", "descending"), ("tie", "ascending")]))
+    new_g = _starts(t["g"])
+    new = new_g | _starts(t["score"]) | _starts(t["tie"])
     t, new_g = t.filter(pa.array(new)), new_g[new]
-    first = np.flatnonzero(new_g)
-    pos = np.arange(len(new_g)) - np.repeat(first, np.diff(np.r_[first, len(new_g)]))
-    t = t.filter(pa.array(pos <= n))
-    names = t.column("g").dictionary_encode().combine_chunks()
-    bucket = np.array([zlib.crc32(x.encode()) % buckets for x in names.dictionary.to_pylist()], np.int64)[names.indices.to_numpy()]
-    m = t.num_rows
-    cols = [pa.array(bucket), pa.array(np.full(m, part)), pa.array([run]).take(pa.array(np.zeros(m, np.int64))), pa.array(np.arange(m))]
-    return pa.RecordBatch.from_arrays([*cols, *(t.column(c).combine_chunks() for c in ("g", "score", "tie"))], schema=_RUNS)
-
-
-def _runs_of(table: pa.Table) -> list[list[tuple[str, float, str]]]:
-    o = pc.sort_indices(table.select(["run", "seq"]), sort_keys=[("run", "ascending"), ("seq", "ascending")])
-    t = table.take(o)
-    run = t.column("run").combine_chunks().dictionary_encode().indices.to_numpy()
-    rows = list(zip(t.column("g").to_pylist(), (-t.column("score").to_numpy()).tolist(), t.column("tie").to_pylist(), strict=True))
-    cut = np.flatnonzero(np.r_[True, run[1:] != run[:-1]]).tolist() + [len(rows)]
-    return [rows[a:b] for a, b in zip(cut, cut[1:], strict=False)]
-
-
-def top_n(df: DataFrame, group: str, score: str, tie: str, n: int, run_rows: int = RUN_ROWS, buckets: int | None = None) -> DataFrame:
+    seq = _places(new_g)
+    kept = seq <= n
+    t, seq = t.filter(pa.array(kept)).combine_chunks(), seq[kept]
+    m = len(seq)
+    cols = [t["bucket"], pa.array(np.full(m, run, np.int64)), pa.array(seq.astype(np.int32)), t["g"], t["score"], t["tie"]]
+    return pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in cols], schema=_RUNS)
+
+
+def merged(t: pa.Table, n: int, last: bool, merges: int) -> Iterator[pa.RecordBatch]:
+    """Whole groups, their runs one after the other, merged: final rows (``last``), or rows of the run they make
+    together, whose number is theirs modulo ``merges``.
+
+    Groups that lie in one run only are passed on as they are, the others go through the loser tree.
+    """
+    new_g = _starts(t["g"])
+    new_run = new_g | _starts(t["run"])
+    at = np.flatnonzero(new_g)
+    runs_of = np.add.reduceat(new_run.astype(np.int64), at)
+    size = np.diff(np.r_[at, len(new_g)])
+    keep = n if last else n + 1
+    single = np.repeat(runs_of == 1, size)
+    if single.any():
+        one = t.filter(pa.array(single & (_places(new_g) < keep))).combine_chunks()
+        seq = one["seq"].to_numpy()
+        if last:
+            more = np.repeat(size > n, size)[single & (_places(new_g) < keep)]
+            cols = [one["g"], one["tie"], one["score"], pa.array(seq + 1, pa.int32()), pa.array(more)]
+        else:
+            cols = [one["bucket"], pa.array(one["run"].to_numpy() % merges), one["seq"], one["g"], one["score"], one["tie"]]
+        yield pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in cols], schema=_MERGED if last else _RUNS)
+    if single.all():
+        return
+    many = t.filter(pa.array(~single)).combine_chunks()
+    cut = np.flatnonzero((_starts(many["g"])) | _starts(many["run"])).tolist() + [many.num_rows]
+    rows = list(zip(many["g"].to_pylist(), (-many["score"].to_numpy()).tolist(), many["tie"].to_pylist(), strict=True))
+    bucket, run = many["bucket"].to_pylist(), many["run"].to_pylist()
+    out, k = [], 0
+    while k < len(cut) - 1:
+        group, slices, first = rows[cut[k]][0], [], cut[k]
+        while k < len(cut) - 1 and rows[cut[k]][0] == group:
+            slices.append(rows[cut[k] : cut[k + 1]])
+            k += 1
+        for g, tie, score, rank, more in merge_top(slices, keep):
+            out.append((g, tie, score, rank, more) if last else (bucket[first], run[first] % merges, rank - 1, g, score, tie))
+    schema = _MERGED if last else _RUNS
+    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+
+def _whole_groups(it: Iterator[pa.RecordBatch], merges: int) -> Iterator[pa.Table]:
+    """Batches of rows in order of (merge, group, run, seq) -> tables of whole groups of one merge each, a merge being the
+    run's number modulo ``merges``. What is held is a batch and one group."""
+
+    def split(t: pa.Table) -> Iterator[pa.Table]:
+        m = t["run"].to_numpy() % merges
+        at = np.flatnonzero(np.r_[True, m[1:] != m[:-1]]).tolist() + [len(m)]
+        for a, b in zip(at, at[1:], strict=False):
+            yield t.slice(a, b - a)
+
+    held = None
+    for b in it:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+        m = t["run"].to_numpy() % merges
+        cut = int(np.flatnonzero(_starts(t["g"]) | np.r_[True, m[1:] != m[:-1]])[-1])
+        if cut:
+            yield from split(t.slice(0, cut))
+        held = t.slice(cut)
+    if held is not None:
+        yield from split(held)
+
+
+def top_n(df: DataFrame, group: str, score: str, tie: str, n: int, run_rows: int = RUN_ROWS, buckets: int | None = None, fan_in: int = FAN_IN) -> DataFrame:
     """The n rows of highest ``score`` in every group, equal scores by smaller ``tie`` (strings, by code point).
 
-    Sorted runs: every task sorts what it reads by (group, score descending, tie) into runs, cut to n + 1 rows a group,
-    since no later row of the run can be among the first n. Runs are bucketed by group. A bucket's runs are merged by a
-    loser tree that passes to the next group after n rows. Runs are merged in two levels of FAN_IN, so that a group that
-    holds a large part of all rows never comes whole to one task: a merge gets at most (n + 1) x FAN_IN rows of it.
+    Sorted runs: every task sorts what it reads by (bucket, group, score descending, tie) into runs of ``run_rows`` rows, cut
+    to n + 1 rows a group, since no later row of the run can be among the first n; buckets are hashes of groups. Runs are
+    stored in the shared folder. A merge takes the runs of a bucket side by side, group by group (Spark's sort, which spills,
+    brings a bucket's rows by group, run and place): a loser tree merges a group's runs and passes to the next group after n
+    rows. It never takes more than ``fan_in`` runs; where there are more, levels of merges leave one run each until no more
+    than ``fan_in`` are left. A task so holds an Arrow batch and (n + 1) x fan_in rows of one group at most, however many rows
+    the group has. Runs are written, and counted, while the result is being put together.
 
     Returns ``group, tie, score DOUBLE, rank INT (from 1), has_more BOOLEAN`` (the group has more than n such rows).
     Rows whose group, tie or score is NULL, or whose score is NaN or infinite, are left out ("not measured"). Rows equal in
@@ -137,8 +206,9 @@ def top_n(df: DataFrame, group: str, score: str, tie: str, n: int, run_rows: int
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or parts
-    slim = df.select(F.col(group).cast("string").alias("g"), measured(score).alias("score"), F.col(tie).cast("string").alias("tie")).dropna()
+    buckets = buckets or 4 * parts
+    g = F.col(group).cast("string")
+    slim = df.select(F.pmod(F.hash(g), F.lit(buckets)).alias("bucket"), g.alias("g"), measured(score).alias("score"), F.col(tie).cast("string").alias("tie")).dropna()
     if n < 1:
         return slim.limit(0).select(F.col("g").alias(group), F.col("tie").alias(tie), F.col("score").alias(score), F.lit(0).alias("rank"), F.lit(False).alias("has_more"))
 
@@ -151,30 +221,33 @@ def top_n(df: DataFrame, group: str, score: str, tie: str, n: int, run_rows: int
             held.append(b)
             rows += b.num_rows
             if rows >= run_rows:
-                yield sorted_run(pa.Table.from_batches(held), n, buckets, f"{task}-{k}", task // FAN_IN)
+                yield sorted_run(pa.Table.from_batches(held), n, task * RUNS_A_TASK + k)
                 held, rows, k = [], 0, k + 1
         if rows:
-            yield sorted_run(pa.Table.from_batches(held), n, buckets, f"{task}-{k}", task // FAN_IN)
-
-    def merge_level(it: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
-        held = [b for b in it if b.num_rows]
-        if not held:
-            return
-        t = pa.Table.from_batches(held)
-        keys = t.column("bucket").to_numpy() if last else t.column("bucket").to_numpy() * (1 << 32) + t.column("part").to_numpy()
-        for key in np.unique(keys):
-            mine = t.filter(pa.array(keys == key))
-            out = list(merge_top(_runs_of(mine), n if last else n + 1))
-            g, tie_, s, r, more = (list(x) for x in zip(*out, strict=True))
-            if last:
-                yield pa.RecordBatch.from_arrays([pa.array(g, pa.string()), pa.array(tie_, pa.string()), pa.array(s, pa.float64()), pa.array(r, pa.int32()), pa.array(more, pa.bool_())], names=["g", "tie", "score", "rank", "has_more"])
-            else:
-                m, b0, p0 = len(g), int(key) >> 32, int(key) & 0xFFFFFFFF
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, b0)), pa.array(np.full(m, p0)), pa.array([f"m{p0}"] * m), pa.array(np.arange(m)), pa.array(g, pa.string()), pa.array(s, pa.float64()), pa.array(tie_, pa.string())], schema=_RUNS)
-
-    runs = slim.mapInArrow(build, RUNS_DDL)
-    first = runs.repartition(parts, "bucket", "part").mapInArrow(lambda it: merge_level(it, False), RUNS_DDL)
-    done = first.repartition(parts, "bucket").mapInArrow(lambda it: merge_level(it, True), MERGED_DDL)
+            yield sorted_run(pa.Table.from_batches(held), n, task * RUNS_A_TASK + k)
+
+    runs = Durable(spark).keep(slim.mapInArrow(build, RUNS_DDL))
+    most = runs.agg(F.max(F.expr(f"run div {RUNS_A_TASK}")).alias("task"), F.max(F.expr(f"run % {RUNS_A_TASK}")).alias("k")).head()
+    tasks, left = (most.task or 0) + 1, ((most.task or 0) + 1) * ((most.k or 0) + 1)
+    at = runs.withColumn("run", F.expr(f"(run % {RUNS_A_TASK}) * {tasks} + run div {RUNS_A_TASK}"))  # dense numbers, 0 .. left - 1
+
+    def level(rows: DataFrame, merges: int) -> DataFrame:
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for t in _whole_groups(it, merges):
+                yield from merged(t, n, False, merges)
+
+        near = rows.withColumn("merge", F.col("run") % merges).repartition(parts, "bucket", "merge").sortWithinPartitions("bucket", "merge", "g", "run", "seq").drop("merge")
+        return near.mapInArrow(run, RUNS_DDL)
+
+    while left > fan_in:
+        left = -(-left // fan_in)
+        at = level(at, left)
+
+    def finish(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole_groups(it, 1):
+            yield from merged(t, n, True, 1)
+
+    done = at.repartition(parts, "bucket").sortWithinPartitions("bucket", "g", "run", "seq").mapInArrow(finish, MERGED_DDL)
     return done.select(F.col("g").alias(group), F.col("tie").alias(tie), F.col("score").alias(score), "rank", "has_more")
 
 

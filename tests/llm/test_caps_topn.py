@@ -1,6 +1,7 @@
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +39,24 @@ def test_top_n_with_ties_copies_and_a_hot_group(spark, run_rows):
     assert topn.top_n(df, "g", "score", "tie", 0).count() == 0
 
 
+def test_runs_far_beyond_one_merge_are_merged_in_levels(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["hot", "hot", f"g{rng.randrange(30)}"]), rng.random(), f"t{k}") for k in range(3000)]
+    df = spark.createDataFrame(rows, "g string, score double, tie string").repartition(4)
+    got = {tuple(r) for r in topn.top_n(df, "g", "score", "tie", 3, run_rows=1, fan_in=3, buckets=3).collect()}  # thousands of runs
+    assert got == plain_top(rows, 3)
+
+
+def test_a_merge_holds_one_group_at_a_time():
+    n, runs = 2, 50
+    rows = [(0, r, k, f"g{g:03d}", 1.0 - k / 10, f"{r}-{k}") for g in range(40) for r in range(runs) for k in range(n + 1)]
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), topn._RUNS, strict=True)], schema=topn._RUNS)
+    sizes = [t.num_rows for t in topn._whole_groups(iter(table.to_batches(max_chunksize=10)), 1)]
+    assert sum(sizes) == len(rows) and max(sizes) == (n + 1) * runs
+    out = [r for t in topn._whole_groups(iter(table.to_batches(max_chunksize=10)), 1) for b in topn.merged(t, n, True, 1) for r in b.to_pylist()]
+    assert len(out) == 40 * n and all(r["has_more"] and r["score"] == 1.0 for r in out)
+
+
 def quotas_by_hand(sizes, cap, equal):
     """Gives slots one by one to the stratum that is furthest below its part."""
     total = sum(sizes.values())
@@ -75,7 +94,7 @@ def test_quotas_use_the_whole_cap(spark, by):
         assert sorted(got[c].values()) == sorted(quotas_by_hand(sizes, 17, by == "equal").values())
 
 
-def test_cap_keeps_the_best_and_small_and_large_caps_agree(spark, monkeypatch):
+def test_cap_keeps_the_best_and_small_and_large_caps_agree(spark):
     rng = random.Random(4)
     rows = [(f"r{k:04d}", rng.choice(["big", "small", None]), rng.choice(["x", "y", None]), rng.choice([None, float("nan"), 0.5, rng.random()])) for k in range(600)]
     df = spark.createDataFrame(rows + rows[:30] + [(None, "big", "x", 1.0)], "id string, who string, topic string, q double").withColumn("kept", F.lit(1))
