@@ -68,30 +68,38 @@ def select_ranks(values: DataFrame, wanted: DataFrame, tables: Durable, settle:
     once. A range of values that holds places is open while it has more than ``settle`` values. In a round every fragment of
     a partition proposes its local median of each open range, the median of those weighted by their sizes is the pivot, and
     values below, at and above it are counted: a place found at the pivot is answered, the side that holds a place stays, a
-    side that holds none is discarded. Where less than half of the rows are left, they are written anew, so rounds read what
-    is still in question. Ranges of a group are disjoint, so a row is in one of them at most, however many places are sought.
+    side that holds none is discarded. Where less than half of the rows are in open ranges, the small ranges are put in order
+    and the rows of the open ones are written anew, so rounds read what is still in question. Ranges of a group are disjoint, so a row is in one of them at most, however many places are sought.
     """
     start = wanted.select("gid", F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"), F.lit(0).cast("bigint").alias("below"), F.col("left").cast("bigint").alias("left"), "ks", F.lit(None).cast("double").alias("answer"))
-    ranges = tables.keep(start)
+    ranges, answers = tables.keep(start), []
     live, rows_kept, own = values, None, False
     is_open = F.col("answer").isNull() & (F.col("left") > settle)
+    is_small = F.col("answer").isNull() & (F.col("left") <= settle)
     v, p = F.col("v"), F.col("p")
 
     def within(of: DataFrame, *more: str) -> DataFrame:
         return live.join(of.select("gid", "lo", "hi", *more), "gid").filter((v > F.col("lo")) & (v < F.col("hi")))
 
+    def settled() -> DataFrame:
+        """Answers of the ranges that are small enough to be put in order."""
+        upto = F.sum("n").over(Window.partitionBy("gid", "lo").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        rest = within(ranges.filter(is_small), "below", "ks").withColumn("upto", F.col("below") + upto)
+        return rest.select("gid", F.explode(F.expr("filter(ks, k -> k < upto AND k >= upto - n)")).alias("k"), v.alias("answer"))
+
     while True:
-        unanswered = F.when(F.col("answer").isNull(), F.col("left"))
-        now = ranges.agg(F.count_if(is_open).alias("n"), F.coalesce(F.sum(unanswered), F.lit(0)).alias("rows")).head()
+        now = ranges.agg(F.count_if(is_open).alias("n"), F.coalesce(F.sum(F.when(is_open, F.col("left"))), F.lit(0)).alias("rows"), F.coalesce(F.sum("left"), F.lit(0)).alias("all")).head()
         if not now.n:
             break
-        if rows_kept is None or now.rows * 2 < rows_kept:
-            if rows_kept is not None:
-                old, was = live, own
-                live, own = tables.keep(within(ranges.filter("answer IS NULL")).select("gid", "v", "n")), True
-                if was:
-                    tables.drop(old)
-            rows_kept = now.rows
+        if now.rows * 2 < (now.all if rows_kept is None else rows_kept):
+            answers.append(tables.keep(settled()))
+            old, was = live, own
+            live, own = tables.keep(within(ranges.filter(is_open)).select("gid", "v", "n")), True
+            if was:
+                tables.drop(old)
+            ranges, rows_kept = ranges.filter(~is_small), now.rows
+        elif rows_kept is None:
+            rows_kept = now.all
         seek = ranges.filter(is_open)
         proposed = within(seek).select("gid", "lo", "v").mapInArrow(_local_medians(fragment), "gid bigint, lo double, m double, c bigint")
         by = Window.partitionBy("gid", "lo")
@@ -107,14 +115,13 @@ def select_ranks(values: DataFrame, wanted: DataFrame, tables: Durable, settle:
             F.struct(p.alias("lo"), F.col("hi").alias("hi"), F.col("to_").alias("below"), F.col("c_gt").alias("left"), F.expr("filter(ks, k -> k >= to_)").alias("ks"), null.alias("answer")),
         )
         made = cut.select("gid", F.explode(sides).alias("x")).select("gid", "x.*").filter(F.size("ks") > 0)
-        old, ranges = ranges, tables.keep(ranges.filter(~is_open).unionByName(made))
-        tables.drop(old)
+        ranges = tables.keep(ranges.filter(~is_open).unionByName(made))
         tables.drop(pivots)
 
-    upto = F.sum("n").over(Window.partitionBy("gid", "lo").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    rest = within(ranges.filter("answer IS NULL"), "below", "ks").withColumn("upto", F.col("below") + upto)
-    found = rest.select("gid", "v", F.explode(F.expr("filter(ks, k -> k < upto AND k >= upto - n)")).alias("k"))
-    return ranges.filter("answer IS NOT NULL").select("gid", F.explode("ks").alias("k"), "answer").unionByName(found.select("gid", "k", F.col("v").alias("answer")))
+    out = ranges.filter("answer IS NOT NULL").select("gid", F.explode("ks").alias("k"), "answer").unionByName(settled())
+    for more in answers:
+        out = out.unionByName(more)
+    return out
 
 
 def percentiles(states: DataFrame, keys: list[str], probs: list[float], settle: int = SETTLE, fragment: int = FRAGMENT_ROWS) -> DataFrame:
