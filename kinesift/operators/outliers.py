@@ -19,7 +19,7 @@ class Series:
 
     low, high: what is physically possible. log: residuals are log ratios to the local level, else differences.
     stuck: so many equal readings in a row are a stuck stretch. value: only this value can be stuck (None: any).
-    min_effect: a residual below this is never a spike, however quiet the source.
+    tails: whether spikes are sought.
     """
 
     name: str
@@ -29,13 +29,12 @@ class Series:
     stuck: int = 8
     value: float | None = None
     tails: bool = True
-    min_effect: float = 0.5
 
 
 FIELDS = (
-    Series("arm_speed", low=0.0, log=True, min_effect=1.0),
-    Series("step_cosine", low=-1.0, high=1.0, min_effect=0.8),
-    Series("step_cosine_right", low=-1.0, high=1.0, min_effect=0.8),
+    Series("arm_speed", low=0.0, log=True),
+    Series("step_cosine", low=-1.0, high=1.0),
+    Series("step_cosine_right", low=-1.0, high=1.0),
     Series("hand_frozen", stuck=12, value=1.0, tails=False),
 )
 
@@ -43,15 +42,34 @@ FIELDS = (
 #: without one, so SIDE frames hold what decides about a block's own rows: stuck - 1 readings, half a median window.
 BLOCK, MAX_GAP, MEDIAN = 4096, 12, 31
 SIDE = MAX_GAP * 16
+#: Readings within reach that a level needs.
+LEAST_NEAR = 5
 #: Width of a residual bin, and bins on either side of 0.
 STEP, BINS = 0.01, 600
-#: Probability that a sound reading lies beyond the cutoff of its source.
-RISK = 1e-5
+#: Probability that a sound reading lies beyond a cutoff of its source.
+RISK = 1e-7
+#: Tail fits: risk of the readings that are trimmed, excesses' worth of trust in an exponential tail, bounds of the shape.
+TRIM, PRIOR, SHAPES = 1e-4, 500.0, (-0.1, 0.05)
+#: A block hands on residuals beyond so many times its median absolute one; those of blocks where a cutoff lies below that
+#: are read again.
+NOTABLE = 4.0
 
 
-def local_level(x: np.ndarray, width: int = MEDIAN) -> np.ndarray:
-    """Median of the ``width`` readings around each one, of those there are near an end."""
-    return pd.Series(x).rolling(width, center=True, min_periods=min(5, width)).median().to_numpy()
+def local_level(frame: np.ndarray, x: np.ndarray, width: int = MEDIAN) -> np.ndarray:
+    """Median of the ``width`` readings around each one that lie within SIDE frames; NaN for fewer than LEAST_NEAR.
+
+    What lies further away doesn't count, so the level doesn't depend on where blocks are cut.
+    """
+    half = width // 2
+    level = pd.Series(x).rolling(width, center=True, min_periods=1).median().to_numpy().copy()
+    k = np.arange(len(x))
+    first = np.maximum(np.maximum(k - half, 0), np.searchsorted(frame, frame - SIDE, "left"))
+    after = np.minimum(np.minimum(k + half + 1, len(x)), np.searchsorted(frame, frame + SIDE, "right"))
+    far = (first > np.maximum(k - half, 0)) | (after < np.minimum(k + half + 1, len(x)))
+    for i in np.flatnonzero(far):
+        level[i] = np.median(x[first[i] : after[i]])
+    level[after - first < LEAST_NEAR] = np.nan
+    return level
 
 
 def equal_runs(frame: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -75,11 +93,14 @@ def one_a_frame(frames: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
     return o[first]
 
 
-def judge_block(pdf: pd.DataFrame, fields: tuple[Series, ...], block: int) -> pd.DataFrame:
-    """Flags, candidates for spikes and residual counts of one block's own rows.
+FOUND_DDL = "file_id string, kind int, field int, at bigint, x double, n bigint"
+
+
+def judge_block(pdf: pd.DataFrame, fields: tuple[Series, ...], block: int, notable: float = NOTABLE) -> pd.DataFrame:
+    """Flags, notable residuals and residual counts of one block's own rows.
 
-    kind 0: a flagged reading, at = frame; 1: a reading beyond min_effect, at = frame, x = residual;
-    2: a bin of residuals, at = bin, n = count.
+    kind 0: a flagged reading, at = frame; 1: a reading beyond the block's threshold, at = frame, x = residual;
+    2: a bin of residuals, at = bin, n = count; 3: the threshold x of the block at.
     """
     frames, me = pdf["frame"].to_numpy(np.int64), int(pdf["block"].iloc[0])
     columns = [pdf[f.name].to_numpy(np.float64, na_value=np.nan) for f in fields]
@@ -105,18 +126,23 @@ def judge_block(pdf: pd.DataFrame, fields: tuple[Series, ...], block: int) -> pd
             continue
         sound = ~impossible & ~stuck
         x, fr, own = x[sound], fr[sound], own[sound]
-        if len(x) < 5:
+        if not len(x):
             continue
-        level = local_level(x)
+        level = local_level(fr, x)
         with np.errstate(divide="ignore", invalid="ignore"):
             r = np.log(np.maximum(x, 1e-3) / np.maximum(level, 1e-3)) if f.log else x - level
-        r, fr = r[own], fr[own]
-        hot = np.abs(r) >= f.min_effect
+        judged = own & np.isfinite(r)
+        r, fr = r[judged], fr[judged]
+        if not len(r):
+            continue
+        limit = notable * float(np.median(np.abs(r)))
+        hot = np.abs(r) > limit
         n = int(hot.sum())
         if n:
             out.append((fr[hot], r[hot], np.zeros(n, np.int64), 1, k))
         at, c = np.unique(np.clip(np.rint(r / STEP), -BINS, BINS).astype(np.int64), return_counts=True)
         out.append((at, np.zeros(len(at)), c, 2, k))
+        out.append((np.array([me]), np.array([limit]), np.zeros(1, np.int64), 3, k))
     if not out:
         none = np.zeros(0, np.int64)
         return pd.DataFrame({"file_id": np.zeros(0, object), "kind": none.astype(np.int32), "field": none.astype(np.int32), "at": none, "x": none.astype(float), "n": none})
@@ -133,24 +159,42 @@ def judge_block(pdf: pd.DataFrame, fields: tuple[Series, ...], block: int) -> pd
     )
 
 
-def tail_cutoff(at: np.ndarray, n: np.ndarray, risk: float, sign: int, prior: float = 1500.0) -> float:
+def tail_cutoff(at: np.ndarray, n: np.ndarray, risk: float, sign: int) -> float:
     """Residual beyond which a sound reading lies with probability ``risk``: a generalised Pareto tail over the 90th percentile.
 
-    Shape and scale come from the 90th, 95th and 97.5th percentiles, which up to 2.5 % of spikes can't move. The shape is
-    drawn towards the exponential one by ``prior`` readings, so that sources with few readings don't run away.
+    First guess: the exponential tail through the 90th and 95th percentiles, which up to 5 % of spikes can't move. Then shape
+    and scale by probability-weighted moments of the excesses that a tail of risk TRIM at least holds, so that spikes don't
+    widen the tail that is to find them, and again until the trimming stays. The shape is drawn towards the exponential one
+    by PRIOR excesses and kept within SHAPES, so that sources with few readings don't run away.
     """
     v = np.asarray(at, float) * STEP * sign
     o = np.argsort(v)
-    v, c = v[o], np.cumsum(np.asarray(n)[o])
-    total = c[-1]
+    v, c = v[o], np.asarray(n, float)[o]
+    upto = np.cumsum(c)
     # linear inside a bin, so that quantiles aren't multiples of its width
-    q90, q95, q975 = (float(np.interp(p * total, np.r_[0, c], np.r_[v[0] - STEP / 2, v + STEP / 2])) for p in (0.9, 0.95, 0.975))
-    a, b = max(q95 - q90, STEP / 4), max(q975 - q95, STEP / 4)
-    shape = math.log(b / a) / math.log(2.0) * total / (total + prior)
-    shape = min(0.05, max(-0.3, shape))
-    scale = a * shape / (2.0**shape - 1.0) if abs(shape) > 1e-6 else a / math.log(2.0)
-    k = risk / 0.1
-    return q90 + (scale * (k**-shape - 1.0) / shape if abs(shape) > 1e-6 else -scale * math.log(k))
+    q90, q95 = (float(np.interp(p * upto[-1], np.r_[0, upto], np.r_[v[0] - STEP / 2, v + STEP / 2])) for p in (0.9, 0.95))
+
+    def beyond(p: float) -> float:
+        k = p / 0.1
+        return q90 + (scale * (k**-shape - 1.0) / shape if abs(shape) > 1e-6 else -scale * math.log(k))
+
+    scale, shape, last = max(q95 - q90, STEP / 4) / math.log(2.0), 0.0, math.inf
+    for _ in range(20):
+        trim = beyond(max(TRIM, risk))
+        if abs(trim - last) < STEP:
+            break
+        last = trim
+        mine = (v > q90) & (v <= trim)
+        y, m = v[mine] - q90, c[mine]
+        total = m.sum()
+        if total < 2:
+            break
+        mean = max(float((y * m).sum() / total), STEP / 4)
+        above = (total - np.cumsum(m) + (m - 1) / 2) / (total - 1)  # share of the other excesses above each, half of its own bin
+        low = float((y * m * above).sum() / total)
+        shape = min(SHAPES[1], max(SHAPES[0], 2.0 - mean / max(mean - 2.0 * low, 1e-9))) * total / (total + PRIOR)
+        scale = mean * (1.0 - shape)
+    return beyond(risk)
 
 
 def fit_source(pdf: pd.DataFrame, fields: tuple[Series, ...], risk: float) -> pd.DataFrame:
@@ -159,27 +203,30 @@ def fit_source(pdf: pd.DataFrame, fields: tuple[Series, ...], risk: float) -> pd
     which, ats, ns = (pdf[c].to_numpy() for c in ("field", "at", "n"))
     for k in np.unique(which):
         mine = which == k
-        f, at, n = fields[int(k)], ats[mine], ns[mine]
-        rows.append((pdf["file_id"].iloc[0], int(k), max(f.min_effect, tail_cutoff(at, n, risk, 1)), max(f.min_effect, tail_cutoff(at, n, risk, -1))))
+        rows.append((pdf["file_id"].iloc[0], int(k), tail_cutoff(ats[mine], ns[mine], risk, 1), tail_cutoff(ats[mine], ns[mine], risk, -1)))
     return pd.DataFrame(rows, columns=["file_id", "field", "upper", "lower"])
 
 
 def implausible_readings(tracks: DataFrame, fields: tuple[Series, ...] = FIELDS, risk: float = RISK, block: int = BLOCK) -> DataFrame:
     """Readings that cannot be real for their file: spikes, stuck stretches and physically impossible values.
 
-    Peaks over threshold: a reading's residual is its log ratio (speeds) or difference (cosines) to the running median,
-    the file's own slow course. Over the 90th percentile of a file's residuals a generalised Pareto tail is fitted, and
-    the cutoff is where a sound reading would lie with probability ``risk``. Stuck: ``Series.stuck`` or more equal
-    readings in a row; unmeasured readings in between don't end a stretch of up to MAX_GAP frames. Impossible: outside
-    ``low``..``high``.
+    Peaks over threshold: a reading's residual is its log ratio (speeds) or difference (cosines) to the running median of the
+    readings around it, the file's own slow course (frames have no calendar, so that course is the only season there is).
+    Over the 90th percentile of a file's residuals a generalised Pareto tail is fitted to either side, and the cutoff is
+    where a sound reading would lie with probability ``risk``; nothing else decides on spikes, so a residual that is one in a
+    quiet file isn't in a lively one. Stuck: ``Series.stuck`` or more equal readings in a row; unmeasured readings in between
+    don't end a stretch of up to MAX_GAP frames. Impossible: outside ``low``..``high``.
 
-    Files are cut into blocks of frames that overlap, so a file of any length is spread over tasks; the fit of a file
-    sees counts of residuals in bins (at most 2 x BINS + 1 rows a series), never its rows.
+    Files are cut into blocks of frames that overlap, so a file of any length is spread over tasks; the fit of a file sees
+    counts of residuals in bins (at most 2 x BINS + 1 rows a series), never its rows. A block hands on residuals beyond
+    NOTABLE times its median one; blocks of which a cutoff lies lower are judged once more, so none is lost. Blocks are judged
+    and written while the result is being put together.
 
     Returns ``file_id STRING, frame BIGINT, field_name STRING``, one row a reading.
     NULL, NaN and infinite readings are unmeasured and never returned; rows without file_id or frame are left out;
-    repeated rows count once (of rows that share a frame but differ, the smallest by value counts); series with fewer
-    than 5 sound readings in a block have no spikes; an empty table gives an empty result; extra columns are ignored.
+    repeated rows count once (of rows that share a frame but differ, the smallest by value counts); readings with fewer than
+    LEAST_NEAR sound ones within SIDE frames have no level and are no spikes; an empty table gives an empty result; extra
+    columns are ignored.
     """
     names = [f.name for f in fields]
     fr = F.col("frame")
@@ -191,15 +238,25 @@ def implausible_readings(tracks: DataFrame, fields: tuple[Series, ...] = FIELDS,
     def judge(pdf: pd.DataFrame) -> pd.DataFrame:
         return judge_block(pdf, fields, block)
 
+    def judge_all(pdf: pd.DataFrame) -> pd.DataFrame:
+        return judge_block(pdf, fields, block, -1.0)
+
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         return fit_source(pdf, fields, risk)
 
-    found = parts.groupBy("file_id", "block").applyInPandas(judge, "file_id string, kind int, field int, at bigint, x double, n bigint")
-    found = Durable(tracks.sparkSession).keep(found)
+    tables = Durable(tracks.sparkSession)
+    found = tables.keep(parts.groupBy("file_id", "block").applyInPandas(judge, FOUND_DDL))
     bins = found.filter("kind = 2").groupBy("file_id", "field", "at").agg(F.sum("n").alias("n"))
-    cutoffs = bins.groupBy("file_id").applyInPandas(fit, "file_id string, field int, upper double, lower double")
-    spikes = found.filter("kind = 1").join(cutoffs, ["file_id", "field"]).filter((F.col("x") > F.col("upper")) | (F.col("x") < -F.col("lower")))
+    cutoffs = tables.keep(bins.groupBy("file_id").applyInPandas(fit, "file_id string, field int, upper double, lower double"))
+    x = F.col("x")
+    beyond = (x > F.col("upper")) | (x < -F.col("lower"))
+    hidden = found.filter("kind = 3").join(cutoffs, ["file_id", "field"]).filter(x > F.least("upper", "lower"))
+    again = tables.keep(hidden.select("file_id", "field", F.col("at").alias("block")).distinct())
+    spikes = found.filter("kind = 1").join(cutoffs, ["file_id", "field"]).filter(beyond).select("file_id", "field", "at")
+    if again.limit(1).count():
+        whole = parts.join(again.select("file_id", "block").distinct(), ["file_id", "block"], "left_semi").groupBy("file_id", "block").applyInPandas(judge_all, FOUND_DDL)
+        more = whole.filter("kind = 1").join(cutoffs, ["file_id", "field"]).filter(beyond).select("file_id", "field", "at")
+        spikes = spikes.unionByName(more).distinct()
     label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("field") + 1)
-    flagged = found.filter("kind = 0").select("file_id", "field", "at").unionByName(spikes.select("file_id", "field", "at"))
+    flagged = found.filter("kind = 0").select("file_id", "field", "at").unionByName(spikes)
     return flagged.select("file_id", F.col("at").alias("frame"), label.alias("field_name"))
-

@@ -51,6 +51,39 @@ def test_block_size_does_not_matter(spark):
     assert a == b
 
 
+def noisy(name, n, spread, seed):
+    rng = np.random.default_rng(seed)
+    x = 100 * np.exp(rng.normal(0, spread, n))
+    return pd.DataFrame({"file_id": name, "frame": np.arange(n), "arm_speed": x, "step_cosine": np.nan, "step_cosine_right": np.nan, "hand_frozen": False, "field": 0, "block": 0})
+
+
+def test_equal_residuals_are_judged_by_their_own_file(spark):
+    quiet, lively = noisy("quiet", 3000, 0.05, 1), noisy("lively", 3000, 0.3, 2)
+    for f in (quiet, lively):
+        f.loc[1500, "arm_speed"] = f.loc[1485:1515, "arm_speed"].median() * math.exp(0.9)
+    got = {(r.file_id, r.frame) for r in implausible_readings(spark.createDataFrame(pd.concat([quiet, lively]), SCHEMA)).collect()}
+    assert got == {("quiet", 1500)}
+
+
+def test_spikes_of_a_lively_block_in_a_quiet_file_are_read_again(spark):
+    f = noisy("f", 8192, 0.05, 3)
+    rough = np.random.default_rng(4).normal(0, 0.6, 512)
+    f.loc[4096:4607, "arm_speed"] *= np.exp(rough)  # NOTABLE times this block's spread is more than the file's cutoff
+    df = spark.createDataFrame(f, SCHEMA)
+    a = {tuple(r) for r in implausible_readings(df, block=512).collect()}
+    b = {tuple(r) for r in implausible_readings(df, block=8192).collect()}
+    assert a == b and len(a) > 50
+
+
+def test_sparse_series_do_not_depend_on_blocks(spark):
+    f = noisy("f", 2400, 0.1, 6)
+    f = f.assign(frame=f.frame * 37 + (f.frame % 5) * 3)  # few readings within reach of each
+    f.loc[1200, "arm_speed"] *= 30
+    df = spark.createDataFrame(f, SCHEMA)
+    a, b = ({tuple(r) for r in implausible_readings(df, block=k).collect()} for k in (512, 1 << 20))
+    assert a == b == {("f", int(f.frame[1200]), "arm_speed")}
+
+
 def test_nulls_short_files_and_empty(spark):
     nan = float("nan")
     rows = [("a", k, None if k % 2 else nan, nan, None, False, 0, 0) for k in range(40)] + [("b", 0, 5.0, 0.1, 0.1, True, 0, 0), (None, 1, -1.0, 0.0, 0.0, False, 0, 0), ("c", None, -1.0, 0.0, 0.0, False, 0, 0)]
