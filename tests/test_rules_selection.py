@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from kinesift.functions import parse
 from kinesift.functions.expr import assert_unique, hash_order, ramp, require_columns
 from kinesift.operators import census, rules, selection
+from kinesift.operators import rule_tables as tables
 
 CLAUSES = [("a", ">=", 1.0, "low_a"), ("b", "<=", 2.0, "high_b")]
 
@@ -32,6 +33,39 @@ def test_scores_are_strict_about_missing_parts(spark):
     assert [r[0] for r in df.select(rules.ratio_floored("b", "a")).collect()] == [10.0, None, None]
 
 
+def test_every_gate_and_disqualifier_has_its_own_reason(spark):
+    ok = {c: lim + (1.0 if op == ">=" else -0.01) for c, op, lim, _ in tables.GATES} | {"gesture_status": "ok"}
+    rows = [ok | {"name": ""}] + [ok | {c: lim - 0.5 if op == ">=" else lim + 0.5, "name": label} for c, op, lim, label in tables.GATES]
+    rows += [ok | {"gesture_status": s, "name": tables.UNMEASURABLE} for s in ("window_too_short:9", None)]
+    df = spark.createDataFrame([tuple(r[k] for k in sorted(ok | {"name": 0})) for r in rows], ", ".join(f"{k} {'string' if k in ('name', 'gesture_status') else 'double'}" for k in sorted(ok | {"name": 0})))
+    assert all((r.fail_reason or "") == r.name and r.qualifies == (r.name == "") for r in rules.gate(df).collect())
+    good = {c: hi + 1.0 for c, _, hi in tables.RAMPS.values()} | {c: lim + 1.0 for c, _, lim, _ in tables.DISQUALIFIERS if c not in ("articulation_ratio", "gesture_quality")}
+    good |= {"arm_speed_p50_mm_s": 50.0, "torso_travel_mm_s_p50": 0.1}  # a torso that is still counts 1
+    parts = [(c, label) for c, _, _, label in tables.DISQUALIFIERS if c in good]
+    cases = [good | {"name": ""}] + [good | {c: -1000.0, "name": label} for c, label in parts] + [good | {"arm_speed_p50_mm_s": 1.5, "name": "motion_is_global"}]
+    cases += [good | {"wrist_range_mm": None, "name": "below_quality_threshold"}]
+    names = sorted(good) + ["name"]
+    df = spark.createDataFrame([tuple(r[k] for k in names) for r in cases], ", ".join(f"{k} {'string' if k == 'name' else 'double'}" for k in names))
+    assert all(r.fail_stage == r.name and r.qualified == (r.name == "") for r in rules.qualify(df).collect())
+    with pytest.raises(KeyError, match="torso_travel_mm_s_p50, wrist_range_mm"):
+        rules.qualify(df.drop("torso_travel_mm_s_p50", "wrist_range_mm"))
+
+
+def test_population_takes_the_first_reason_and_fills_columns(spark):
+    ok = dict(file_id="f", all_modalities_present=True, video_stream_present=True, probe_status="ok", video_width=1080, video_height=1920, video_r_fps=30.0, video_nb_frames=1800.0, observed_duration_s=60.0, video_duration_s=60.2, interaction_type="x")
+    cases = [({}, None), ({"all_modalities_present": None}, "incomplete_bundle"), ({"video_stream_present": False}, "no_video_stream"), ({"probe_status": None}, "probe_failed"), ({"video_width": 640, "video_height": 480}, "excluded_raster")]
+    cases += [({"video_r_fps": 61.5}, "unusable_frame_rate"), ({"video_r_fps": float("nan")}, "unusable_frame_rate"), ({"video_nb_frames": None}, "timebase_drift"), ({"video_duration_s": 61.0}, "timebase_drift"), ({"video_duration_s": None}, None)]
+    cases += [({"interaction_type": "charades"}, "no_speech_activity"), ({"interaction_type": None}, None), ({"observed_duration_s": 39.9}, "too_short"), ({"observed_duration_s": None}, "too_short")]
+    rows = [ok | x | {"label": str(k)} for k, (x, _) in enumerate(cases)]
+    types = {"all_modalities_present": "boolean", "video_stream_present": "boolean", "video_width": "int", "video_height": "int", "video_r_fps": "double", "video_nb_frames": "double", "observed_duration_s": "double", "video_duration_s": "double"}
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{k} {types.get(k, 'string')}" for k in rows[0]))
+    out = rules.population(df)
+    assert out.columns == list(tables.POPULATION) and out.filter("session_id IS NOT NULL").count() == 0
+    got = {int(r.label): (r.ineligible_reason, r.eligible) for r in out.collect()}
+    assert got == {k: (want, want is None) for k, (_, want) in enumerate(cases)}
+    assert rules.population(df.drop("video_duration_s")).filter("label = '8' AND eligible").count() == 1
+
+
 def test_wilson(spark):
     df = spark.createDataFrame([(0, 0), (77, 90), (5, 5)], "k int, n int")
     lo, hi = rules.wilson("k", "n")
