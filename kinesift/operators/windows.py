@@ -1,12 +1,10 @@
-"""Overlapping sliding windows over series and the measures of each window."""
+"""Overlapping sliding windows over series."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import measured
-
 
 def sliding_windows(frames: str | Column, width: int, hop: int) -> Column:
     """Starts of the windows that fit ``frames`` positions whole; the tail is dropped."""
@@ -25,122 +23,3 @@ def to_windows(df: DataFrame, key: str, order: str, width: int, hop: int) -> Dat
     spans = df.groupBy(key).agg((F.max(o) + 1).alias("_k_frames"))
     fits = spans.select(F.col(key), F.explode(sliding_windows("_k_frames", width, hop)).alias("_k_start")).select(key, F.floor(F.col("_k_start") / F.lit(hop)).alias("window_index"))
     return each.join(fits, [key, "window_index"], "left_semi")
-
-
-def pearson(x: str | Column, y: str | Column, least: int = 4, flat: float = 1e-12) -> Column:
-    """Correlation as an aggregate; NULL below ``least`` pairs or where either side hardly varies."""
-    a, b = measured(x), measured(y)
-    both = a.isNotNull() & b.isNotNull()
-    a, b = F.when(both, a), F.when(both, b)
-    sx, sy = F.stddev_pop(a), F.stddev_pop(b)
-    return F.when((F.count(a) >= least) & (sx > flat) & (sy > flat), F.try_divide(F.covar_pop(a, b), sx * sy))
-
-
-def pct(x: Column, p: float) -> Column:
-    """Linear percentile of the measured values."""
-    return F.percentile(x, F.lit(p))
-
-
-def window_measures(tracks: DataFrame, width: int, hop: int, fps: float = 30.0, fast: float = 4000.0, active: float = 60.0) -> DataFrame:
-    """Scalar measures of every window of every file of per-frame tracks; a window of one file is all that a task groups."""
-    t = tracks.withColumns({"v": measured("arm_speed"), "cl": measured("step_cosine"), "cr": measured("step_cosine_right"), "kc": measured("kp_conf")}).withColumn("act", F.coalesce(F.col("v") > active, F.lit(False)))
-    w = to_windows(t, "file_id", "frame", width, hop)
-    sp, act = F.col("speech"), F.col("act").cast("int")
-    speech, silence = F.avg(F.when(sp, act)), F.avg(F.when(~sp, act))
-    cosines = F.flatten(F.array(F.collect_list("cl"), F.collect_list("cr")))
-    base = w.groupBy("file_id", "window_index").agg(
-        F.count(F.lit(1)).alias("n_frames"),
-        (F.count_if(sp) / fps).alias("speech_seconds"),
-        F.avg(sp.cast("int")).alias("speech_frac"),
-        F.avg(F.col("smplh_valid").cast("int")).alias("smplh_valid_frac"),
-        F.avg(F.col("hand_frozen").cast("int")).alias("hand_frozen_frac"),
-        pct(F.col("kc"), 0.1).alias("kp_conf_p10"),
-        F.avg((F.col("v") > fast).cast("int")).alias("implausible_frac"),
-        pearson("v", "kc").alias("consistency_r"),
-        pct(F.col("v"), 0.5).alias("arm_speed_p50_mm_s"),
-        pct(F.when(sp, F.col("v")), 0.5).alias("arm_speed_speech_p50_mm_s"),
-        F.avg(act).alias("gesture_frac"),
-        speech.alias("gesture_frac_speech"),
-        silence.alias("gesture_frac_silence"),
-        F.try_divide(speech + 0.02, silence + 0.02).alias("gesture_speech_ratio"),
-        (F.count_if(sp & F.col("act")) / fps).alias("gesture_seconds_speech"),
-        F.array_sort(cosines).alias("_k_cos"),
-    )
-    n, half = F.size("_k_cos"), F.floor((F.size("_k_cos") - 1) / 2).cast("int")
-    median = (F.get("_k_cos", half) + F.get("_k_cos", F.floor(F.size("_k_cos") / 2).cast("int"))) / 2
-    return base.withColumn("step_cosine_n", n).withColumn("step_cosine_p50", F.when(n >= 8, median)).drop("_k_cos")
-
-
-def window_runs(tracks: DataFrame, flag: Column, width: int, hop: int) -> DataFrame:
-    """Stretches of ``flag`` within each window, cut at its borders: ``file_id, window_index, start, n, n_speech, n_active``."""
-    w = to_windows(tracks.withColumn("_k_f", flag), "file_id", "frame", width, hop)
-    by = Window.partitionBy("file_id", "window_index", "_k_f").orderBy("frame")
-    isles = w.withColumn("_k_g", F.col("frame") - F.row_number().over(by)).filter("_k_f")
-    return isles.groupBy("file_id", "window_index", "_k_g").agg(F.min("frame").alias("start"), F.count(F.lit(1)).alias("n"), F.count_if("speech").alias("n_speech"), F.count_if(measured("arm_speed") > 60.0).alias("n_active")).drop("_k_g")
-
-
-def episodes(tracks: DataFrame, width: int, hop: int, fps: float = 30.0, overlap_s: float = 0.2, active: float = 60.0) -> DataFrame:
-    """Activity episodes of each window: all, those in speech, their median length; 0 where there is none."""
-    act = F.coalesce(measured("arm_speed") > active, F.lit(False))
-    least = max(1, round(overlap_s * fps))
-    found = window_runs(tracks, act, width, hop).groupBy("file_id", "window_index").agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("n_speech") >= least).alias("s"), (F.percentile(F.col("n"), F.lit(0.5)) / fps).alias("m"))
-    all_ = to_windows(tracks, "file_id", "frame", width, hop).select("file_id", "window_index").distinct()
-    return all_.join(found, ["file_id", "window_index"], "left").select("file_id", "window_index", F.coalesce("c", F.lit(0)).alias("episode_count"), F.coalesce("s", F.lit(0)).alias("episode_count_speech"), F.coalesce("m", F.lit(0.0)).alias("episode_median_s"))
-
-
-def segments_covered(tracks: DataFrame, width: int, hop: int, fps: float = 30.0, segment_s: float = 0.8, overlap_s: float = 0.2) -> DataFrame:
-    """Speech segments of each window that are long enough, and the share with enough activity; NULL where there is none."""
-    found = window_runs(tracks, F.col("speech"), width, hop).filter(F.col("n") >= round(segment_s * fps)).groupBy("file_id", "window_index").agg(F.count(F.lit(1)).alias("c"), F.avg((F.col("n_active") >= max(1, round(overlap_s * fps))).cast("int")).alias("s"))
-    all_ = to_windows(tracks, "file_id", "frame", width, hop).select("file_id", "window_index").distinct()
-    return all_.join(found, ["file_id", "window_index"], "left").select("file_id", "window_index", F.coalesce("c", F.lit(0)).alias("speech_segment_count"), F.col("s").alias("speech_segments_covered"))
-
-
-def longest_run(tracks: DataFrame, flag: Column, width: int, hop: int, name: str) -> DataFrame:
-    """Longest stretch of ``flag`` in each window, 0 where there is none."""
-    found = window_runs(tracks, flag, width, hop).groupBy("file_id", "window_index").agg(F.max("n").alias("m"))
-    all_ = to_windows(tracks, "file_id", "frame", width, hop).select("file_id", "window_index").distinct()
-    return all_.join(found, ["file_id", "window_index"], "left").select("file_id", "window_index", F.coalesce("m", F.lit(0)).alias(name))
-
-
-def excursion(tracks: DataFrame, axes: list[str], width: int, hop: int, q: float = 0.9) -> DataFrame:
-    """Percentile of the distance to the window's median position, and the diagonal of the box the track fills."""
-    w = to_windows(tracks.withColumns({a: measured(a) for a in axes}), "file_id", "frame", width, hop)
-    keys = ["file_id", "window_index"]
-    centre = w.groupBy(*keys).agg(*[pct(F.col(a), 0.5).alias(f"m_{a}") for a in axes], *[(F.max(a) - F.min(a)).alias(f"r_{a}") for a in axes])
-    far, box = F.lit(0.0), F.lit(0.0)
-    for a in axes:
-        far = far + (F.col(a) - F.col(f"m_{a}")) * (F.col(a) - F.col(f"m_{a}"))
-        box = box + F.col(f"r_{a}") * F.col(f"r_{a}")
-    return w.join(centre, keys).groupBy(*keys).agg(pct(F.sqrt(far), q).alias("excursion"), F.max(F.sqrt(box)).alias("range"))
-
-
-def posture_spread(tracks: DataFrame, axes: list[str], width: int, hop: int, step: int, least: int = 3) -> DataFrame:
-    """Mean distance between every two of the positions sampled each ``step``-th speech row of a window (all rows where there
-    is no speech); NULL below ``least`` samples. The pairs are those of a window's few samples, width / step at most.
-    """
-    keys = ["file_id", "window_index"]
-    w = to_windows(tracks.withColumns({a: measured(a) for a in axes}), "file_id", "frame", width, hop)
-    w = w.withColumn("_k_any", F.max(F.col("speech")).over(Window.partitionBy(*keys))).filter(F.col("speech") | ~F.col("_k_any"))
-    w = w.withColumn("_k_r", F.row_number().over(Window.partitionBy(*keys).orderBy("frame"))).filter(f"(_k_r - 1) % {step} = 0")
-    pts = w.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_k_r", *axes))).alias("p"))
-    d = " + ".join(f"(x.{a} - y.{a}) * (x.{a} - y.{a})" for a in axes)
-    total = F.expr(f"aggregate(transform(p, x -> aggregate(filter(p, y -> y._k_r > x._k_r), 0D, (s, y) -> s + sqrt({d}))), 0D, (s, v) -> s + v)")
-    n = F.size("p")
-    return pts.select(*keys, n.alias("n_samples"), F.when(n >= least, total / (n * (n - 1) / 2)).alias("posture_spread"))
-
-
-def sync_lag(tracks: DataFrame, width: int, hop: int, fps: float = 30.0, bin_s: float = 0.5, max_lag_s: float = 1.5) -> DataFrame:
-    """Best correlation of binned speed with binned speech over lags, its lag (first one on ties), and that at lag 0.
-
-    A lag above 0 means that speed follows speech. NULL below 8 bins, for flat series, or bins without a measured speed.
-    """
-    size, lags = max(1, round(bin_s * fps)), round(max_lag_s / bin_s)
-    keys = ["file_id", "window_index"]
-    w = to_windows(tracks, "file_id", "frame", width, hop).withColumn("bin", F.floor((F.col("frame") - F.col("window_index") * hop) / F.lit(size)))
-    bins = w.filter(F.col("bin") < width // size).groupBy(*keys, "bin").agg(F.avg(measured("arm_speed")).alias("v"), F.avg(F.col("speech").cast("int")).alias("s"))
-    speeds = bins.select(*keys, F.col("bin").alias("at"), "v")
-    said = bins.select(*keys, "bin", "s").withColumn("lag", F.explode(F.array(*[F.lit(k) for k in range(-lags, lags + 1)]))).withColumn("at", F.col("bin") + F.col("lag"))
-    r = said.join(speeds, [*keys, "at"]).groupBy(*keys, "lag").agg(pearson("v", "s").alias("r"), F.count(F.lit(1)).alias("n"))
-    flat = bins.groupBy(*keys).agg(((F.count("v") >= 8) & (F.stddev_pop("v") > 1e-9) & (F.stddev_pop("s") > 1e-9)).alias("ok"))
-    best = r.groupBy(*keys).agg(F.max("r").alias("r"), F.max_by("lag", F.when(F.col("r").isNotNull(), F.struct(F.round("r", 12), -F.col("lag")))).alias("lag"), F.max(F.when(F.col("lag") == 0, F.col("r"))).alias("zero"))
-    return flat.join(best, keys, "left").select(*keys, F.when(F.col("ok"), F.col("r")).alias("sync_r"), F.when(F.col("ok") & F.col("r").isNotNull(), F.col("lag") * bin_s).alias("sync_lag_s"), F.when(F.col("ok"), F.col("zero")).alias("sync_r_zero"))
