@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import measured
@@ -51,77 +49,104 @@ def framed_windows(tracks: DataFrame, width: int, hop: int, columns: list[str],
     return each.select("file_id", "window_index", F.flatten(F.transform(near, lambda x: x["r"])).alias("f")).filter(F.size("f") > 0)
 
 
-# ---- expressions over arrays of a window -----------------------------------------------------------------------------
-def in_order(a: str | Column) -> Column:
+# ---- expressions over arrays of a window, as SQL text: hundreds of nested lambdas are parsed at once that way -----------
+def let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, computed once also where a lambda reads it for each element."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def in_order(a: str) -> str:
     """The measured values of an array, sorted."""
-    return F.sort_array(F.filter(a, lambda x: x.isNotNull()))
+    return f"sort_array(filter({a}, x -> x IS NOT NULL))"
 
 
-def percentile_of(ordered: str, q: float) -> Column:
-    """Linear percentile of a column that holds sorted values; NULL for none."""
-    at = (F.size(ordered) - 1) * F.lit(float(q))
-    low, high = F.get(ordered, F.floor(at).cast("int")), F.get(ordered, F.ceil(at).cast("int"))
-    return low + (at - F.floor(at)) * (high - low)
+def percentile_of(ordered: str, q: float) -> str:
+    """Linear percentile of sorted values; NULL for none."""
+    at = f"((size({ordered}) - 1) * {q!r}D)"
+    low, high = f"get({ordered}, cast(floor({at}) AS int))", f"get({ordered}, cast(ceil({at}) AS int))"
+    return f"({low} + ({at} - floor({at})) * ({high} - {low}))"
 
 
-def share(a: str | Column) -> Column:
+def share(a: str) -> str:
     """Share of TRUE among the entries of an array that aren't NULL; NULL for none."""
-    known = F.filter(a, lambda x: x.isNotNull())
-    return F.try_divide(F.size(F.filter(known, lambda x: x)), F.size(known))
+    return f"try_divide(size(filter({a}, x -> x)), size(filter({a}, x -> x IS NOT NULL)))"
+
+
+def correlation(pairs: str, flat: float = 1e-12, least: int = 4) -> str:
+    """Pearson's r of an array of (x, y), pairs with a NULL left out; NULL below ``least`` pairs or where either hardly varies.
+
+    Means and sums of products are updated pair by pair, so large levels cost no digits.
+    """
+    known = f"filter({pairs}, p -> p.x IS NOT NULL AND p.y IS NOT NULL)"
+    step = let(
+        "named_struct('n', s.n + 1, 'dx', p.x - s.mx, 'dy', p.y - s.my)",
+        "d",
+        "named_struct('n', d.n, 'mx', s.mx + d.dx / d.n, 'my', s.my + d.dy / d.n, 'xx', s.xx + d.dx * (p.x - s.mx - d.dx / d.n), 'yy', s.yy + d.dy * (p.y - s.my - d.dy / d.n), 'xy', s.xy + d.dx * (p.y - s.my - d.dy / d.n))",
+    )
+    done = f"CASE WHEN s.n >= {least} AND sqrt(s.xx / s.n) > {flat!r}D AND sqrt(s.yy / s.n) > {flat!r}D THEN s.xy / sqrt(s.xx) / sqrt(s.yy) END"
+    return f"CASE WHEN size({known}) >= {least} THEN aggregate({known}, named_struct('n', 0D, 'mx', 0D, 'my', 0D, 'xx', 0D, 'yy', 0D, 'xy', 0D), (s, p) -> {step}, s -> {done}) END"
+
 
+def stretches(flags: str) -> str:
+    """Half-open stretches (a, b) of positions in an array of flags where they hold, cut where a frame is missing."""
+    held = "filter(sequence(0, size(z.a) - 1), i -> coalesce(get(z.a, i), false))"
+    starts = f"filter({held}, i -> NOT coalesce(get(z.a, i - 1), false) OR coalesce(get(z.o, i) - get(z.o, i - 1) > 1, true))"
+    ends = f"filter({held}, i -> NOT coalesce(get(z.a, i + 1), false) OR coalesce(get(z.o, i + 1) - get(z.o, i) > 1, true))"
+    return let(f"struct({flags} AS a, f.frame AS o)", "z", f"zip_with({starts}, {ends}, (s, e) -> named_struct('a', s, 'b', e + 1))")
 
-def count_true(a: str | Column) -> Column:
-    return F.size(F.filter(a, lambda x: F.coalesce(x, F.lit(False))))
 
+def with_enough(stretches: str, flags: str, least: int) -> str:
+    """How many stretches hold ``least`` TRUE flags."""
+    return let(f"struct({stretches} AS s, {flags} AS a)", "z", f"size(filter(z.s, x -> size(filter(slice(z.a, x.a + 1, x.b - x.a), y -> y)) >= {least}))")
 
-def correlation(pairs: Column, flat: float = 1e-12, least: int = 4) -> Column:
-    """Pearson's r of an array of (x, y), pairs with a NULL left out; NULL below ``least`` pairs or where either hardly varies."""
-    zero = F.lit(0.0)
-    names = ("n", "mx", "my", "xx", "yy", "xy")
 
-    def add(s: Column, p: Column) -> Column:
-        n, dx, dy = s["n"] + 1, p["x"] - s["mx"], p["y"] - s["my"]
-        mx, my = s["mx"] + dx / n, s["my"] + dy / n
-        new = (n, mx, my, s["xx"] + dx * (p["x"] - mx), s["yy"] + dy * (p["y"] - my), s["xy"] + dx * (p["y"] - my))
-        return F.struct(*[x.alias(c) for x, c in zip(new, names, strict=True)])
+def distance(x: str, y: str) -> str:
+    """Distance of two points given as stems of column names: ``x_x, x_y, x_z``."""
+    return "sqrt(" + " + ".join(f"({x}_{a} - {y}_{a}) * ({x}_{a} - {y}_{a})" for a in "xyz") + ")"
 
-    def done(s: Column) -> Column:
-        sx, sy = F.sqrt(s["xx"] / s["n"]), F.sqrt(s["yy"] / s["n"])
-        return F.when((s["n"] >= least) & (sx > flat) & (sy > flat), F.try_divide(s["xy"] / s["n"], sx * sy))
 
-    known = F.filter(pairs, lambda p: p["x"].isNotNull() & p["y"].isNotNull())
-    return F.when(F.size(known) >= least, F.aggregate(known, F.struct(*[zero.alias(c) for c in names]), add, done))
+def _excursion(k: str) -> str:
+    """How far the farther side of each frame is from its own median place in the window."""
+    centre = ", ".join(f"{percentile_of(f'o_{p}_{a}', 0.5)} AS {p}_{a}" for p in SIDES[k] for a in "xyz")
+    return let(f"struct({centre})", "m", "transform(f, x -> greatest(" + ", ".join(distance(f"x.{p}", f"m.{p}") for p in SIDES[k]) + "))")
 
 
-def stretches(flag: str, frames: str = "frames") -> Column:
-    """Half-open stretches (a, b) of positions in an array where ``flag`` holds, cut where a frame is missing."""
-    a, fr = F.col(flag), F.col(frames)
-    n = F.size(a)
+def _extent(k: str) -> str:
+    """Diagonal of the box that the farther side fills."""
+    side = ("sqrt(" + " + ".join(f"pow(array_max(f.{p}_{a}) - array_min(f.{p}_{a}), 2)" for a in "xyz") + ")" for p in SIDES[k])
+    return f"greatest({', '.join(side)})"
 
-    def on(i: Column) -> Column:
-        return F.coalesce(F.get(a, i), F.lit(False))
 
-    each = F.sequence(F.lit(0), n - 1)
-    starts = F.filter(each, lambda i: on(i) & (~on(i - 1) | (F.coalesce(F.get(fr, i) - F.get(fr, i - 1), F.lit(2)) > 1)))
-    ends = F.filter(each, lambda i: on(i) & (~on(i + 1) | (F.coalesce(F.get(fr, i + 1) - F.get(fr, i), F.lit(2)) > 1)))
-    return F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("a"), (e + 1).alias("b")))
+def _spread(p: str) -> str:
+    """Mean distance between every two of a window's handful of samples."""
+    each = f"transform(samples, (x, i) -> aggregate(slice(samples, i + 2, size(samples)), 0D, (s, y) -> s + {distance(f'x.{p}', f'y.{p}')}))"
+    return f"(aggregate({each}, 0D, (s, x) -> s + x) / (size(samples) * (size(samples) - 1) / 2))"
 
 
-def _distance(x: Column, p: str, y: Callable[[str], Column]) -> Column:
-    """Distance of point ``p`` of a frame from what ``y`` gives for its columns."""
-    return F.sqrt(sum(((x[f"{p}_{a}"] - y(f"{p}_{a}")) ** 2 for a in "xyz"), F.lit(0.0)))
+def _abduction(elbow: str, shoulder: str) -> str:
+    """Angle of an upper arm from straight down, in degrees."""
+    return f"degrees(acos(greatest(-1D, least(1D, (x.{shoulder}_y - x.{elbow}_y) / ({distance(f'x.{elbow}', f'x.{shoulder}')} + 1e-9D)))))"
 
 
-def _excursion(k: str) -> Column:
-    """How far the farther side of a frame is from its own median place in the window."""
-    return F.transform("f", lambda x: F.greatest(*[_distance(x, p, lambda c: F.col(f"m_{c}")) for p in SIDES[k]]))
+def _bins(width: int, hop: int, size: int) -> str:
+    """Means of speed and speech in bins of ``size`` frames; frames of a bin are sought where lost frames can have moved them."""
+    lost = f"({width} - size(f))"
+    near = f"filter(slice(f, greatest(0, j * {size} - {lost}) + 1, {size} + {lost}), x -> (x.frame - window_index * {hop}) div {size} = j)"
+    v = "filter(m.arm_speed, x -> x IS NOT NULL)"
+    one = let(near, "m", f"named_struct('v', try_divide(aggregate({v}, 0D, (t, x) -> t + x), size({v})), 's', {share('m.speech')})")
+    return f"transform(sequence(0, {width // size - 1}), j -> {one})"
 
 
-def _spread(samples: str, p: str) -> Column:
-    """Mean distance between every two of a handful of samples."""
-    n = F.size(samples)
-    each = F.transform(samples, lambda x, i: F.aggregate(F.slice(samples, i + 2, n), F.lit(0.0), lambda s, y: s + _distance(x, p, lambda c: y[c])))
-    return F.aggregate(each, F.lit(0.0), lambda s, x: s + x) / (n * (n - 1) / 2)
+def _varies(c: str, flat: float = 1e-9) -> str:
+    """Do the bins' measured values differ, and are there enough of them?"""
+    step = "named_struct('n', s.n + 1, 'm', s.m + (x - s.m) / (s.n + 1), 'v', s.v + (x - s.m) * (x - s.m) * s.n / (s.n + 1))"
+    return f"aggregate(filter(bins.{c}, x -> x IS NOT NULL), named_struct('n', 0D, 'm', 0D, 'v', 0D), (s, x) -> {step}, s -> s.n >= {LEAST_BINS} AND sqrt(s.v / greatest(s.n, 1D)) > {flat!r}D)"
+
+
+def _lagged(lag: int, bins: int) -> str:
+    """Pairs of speed and the speech ``lag`` bins before it."""
+    n = max(0, bins - abs(lag))
+    return f"zip_with(slice(bins, {max(lag, 0) + 1}, {n}), slice(bins, {max(-lag, 0) + 1}, {n}), (a, b) -> named_struct('x', a.v, 'y', b.s))"
 
 
 def window_measures(tracks: DataFrame, width: int, hop: int, fps: float = 30.0, block: int = WINDOWS_A_BLOCK) -> DataFrame:
@@ -131,133 +156,85 @@ def window_measures(tracks: DataFrame, width: int, hop: int, fps: float = 30.0,
     near a window's borders know their neighbours, while stretches are cut at the borders. NULL, NaN and infinite numbers are
     unmeasured and left out of percentiles, shares and correlations; a NULL flag doesn't hold, and isn't counted in shares.
     A measure that nothing was measured for is NULL. Where a window has no speech, posture is that of all its frames.
-    Windows of less than two seconds give their status only: an empty result, as none of them is made. Only columns that the
-    chosen measures need are computed.
+    Windows of less than two seconds have a status and no measure.
 
-    Returns ``file_id, window_index, start_frame, end_frame, start_s, gesture_status`` and the measures.
+    Returns ``file_id, window_index, start_frame, end_frame, start_s, gesture_status`` and the measures; what isn't selected
+    from it isn't computed.
     """
-    if width < round(2 * fps):
-        return tracks.select("file_id", F.floor(F.col("frame") / F.lit(hop)).alias("window_index"), F.lit(f"window_too_short:{width}").alias("gesture_status")).distinct()
     clean = tracks.withColumns({c: measured(c) for c in (*POINTS, *NUMBERS)})
     w = framed_windows(clean, width, hop, [*POINTS, *NUMBERS, *FLAGS], block)
-    w = w.withColumn("fs", F.filter("f", lambda x: F.coalesce(x["speech"], F.lit(False)))).withColumn("fp", F.when(F.size("fs") > 0, F.col("fs")).otherwise(F.col("f")))
-    step = max(1, round(SAMPLE_S * fps))
-    w = w.withColumns(
-        {
-            "frames": F.col("f.frame"),
-            "o_speed": in_order("f.arm_speed"),
-            "o_speech": in_order("fs.arm_speed"),
-            "o_conf": in_order("f.kp_conf"),
-            "o_cos": in_order(F.concat("f.step_cosine", "f.step_cosine_right")),
-            "o_hand": in_order("f.hand_speed"),
-            "o_torso": in_order("f.torso_speed"),
-            "o_height": in_order(F.transform("fp", lambda x: F.greatest(x["lw_y"], x["rw_y"]))),
-            "o_abd": in_order(F.transform("fp", lambda x: F.greatest(*[_abduction(x, e, s) for e, s in zip(SIDES["elbow"], SIDES["shoulder"], strict=True)]))),
-            "samples": F.filter("fp", lambda x, i: i % step == 0),
-            "act": F.col("f.active"),
-            "said": F.col("f.speech"),
-            "lost": F.transform("f.smplh_valid", lambda x: ~x),
-        }
-        | {f"o_{p}_{a}": in_order(f"f.{p}_{a}") for k in ("wrist", "elbow") for p in SIDES[k] for a in "xyz"}
-    )
-    w = w.withColumns({"episodes": stretches("act"), "segments": stretches("said"), "breaks": stretches("lost"), "bins": _bins(width, hop, fps)} | {f"m_{p}_{a}": percentile_of(f"o_{p}_{a}", 0.5) for k in ("wrist", "elbow") for p in SIDES[k] for a in "xyz"})
-    least = max(1, round(OVERLAP_S * fps))
-    lags = round(MOST_LAG_S / BIN_S)
-    w = w.withColumns(
-        {
-            "o_episode": F.sort_array(F.transform("episodes", lambda x: (x["b"] - x["a"]).cast("double"))),
-            "long": F.filter("segments", lambda x: x["b"] - x["a"] >= round(SEGMENT_S * fps)),
-            "speech_rate": share("fs.active"),
-            "silence_rate": share(F.filter("f", lambda x: ~x["speech"])["active"]),
-            "corr": F.array(*[F.struct(correlation(_lagged(lag, width, fps)).alias("r"), F.lit(lag).alias("lag")) for lag in range(-lags, lags + 1)]),
-            "even": _varies("v") & _varies("s"),
-        }
-        | {f"o_{k}": in_order(_excursion(k)) for k in ("wrist", "elbow")}
-    )
-    best = F.array_max(F.transform(F.filter("corr", lambda c: c["r"].isNotNull()), lambda c: F.struct(F.round(c["r"], 12).alias("k"), (-c["lag"]).alias("l"), c["r"].alias("r"))))
-    w = w.withColumn("best", best)
-    n = F.size("f")
-    spans = {k: F.greatest(*[F.sqrt(sum(((F.get(f"o_{p}_{a}", F.size(f"o_{p}_{a}") - 1) - F.get(f"o_{p}_{a}", F.lit(0))) ** 2 for a in "xyz"), F.lit(0.0))) for p in SIDES[k]]) for k in ("wrist", "elbow")}
-    return w.select(
-        "file_id",
-        "window_index",
-        (F.col("window_index") * hop).alias("start_frame"),
-        (F.col("window_index") * hop + width).alias("end_frame"),
-        (F.col("window_index") * hop / fps).alias("start_s"),
-        F.lit("ok").alias("gesture_status"),
-        n.alias("window_frames"),
-        F.lit(width / fps).alias("window_seconds"),
-        (F.size("fs") / fps).alias("speech_seconds"),
-        share("said").alias("speech_frac"),
-        share("f.smplh_valid").alias("smplh_valid_frac"),
-        (F.coalesce(F.array_max(F.transform("breaks", lambda x: x["b"] - x["a"])), F.lit(0)) / fps).alias("smplh_longest_invalid_s"),
-        share("f.box_valid").alias("box_valid_frac"),
-        share("f.hand_frozen").alias("hand_frozen_frac"),
-        percentile_of("o_conf", 0.1).alias("kp_conf_p10"),
-        share(F.transform("f.arm_speed", lambda x: x > FAST_MM_S)).alias("implausible_frac"),
-        correlation(F.transform("f", lambda x: F.struct(x["arm_speed"].alias("x"), x["arm_speed_2d"].alias("y")))).alias("consistency_r"),
-        F.when(F.size("o_cos") >= LEAST_COSINES, percentile_of("o_cos", 0.5)).alias("step_cosine_p50"),
-        F.size("o_cos").alias("step_cosine_n"),
-        percentile_of("o_wrist", 0.9).alias("wrist_excursion_p90_mm"),
-        spans["wrist"].alias("wrist_range_mm"),
-        percentile_of("o_elbow", 0.9).alias("elbow_excursion_p90_mm"),
-        spans["elbow"].alias("elbow_range_mm"),
-        percentile_of("o_hand", 0.75).alias("hand_artic_p75_rad_s"),
-        F.when(F.size("samples") >= LEAST_SAMPLES, F.greatest(*[_spread("samples", p) for p in SIDES["wrist"]])).alias("posture_spread_mm"),
-        percentile_of("o_height", 0.75).alias("wrist_height_p75_mm"),
-        share(F.transform("fp", lambda x: _distance(x, "lw", lambda c: x[c.replace("lw", "rw")]) < TOGETHER_MM)).alias("hands_together_frac"),
-        percentile_of("o_abd", 0.75).alias("arm_abduction_p75_deg"),
-        percentile_of("o_torso", 0.5).alias("torso_travel_mm_s_p50"),
-        percentile_of("o_speed", 0.5).alias("arm_speed_p50_mm_s"),
-        percentile_of("o_speech", 0.5).alias("arm_speed_speech_p50_mm_s"),
-        share("act").alias("gesture_frac"),
-        F.col("speech_rate").alias("gesture_frac_speech"),
-        F.col("silence_rate").alias("gesture_frac_silence"),
-        ((F.col("speech_rate") + RATIO_FLOOR) / (F.col("silence_rate") + RATIO_FLOOR)).alias("gesture_speech_ratio"),
-        F.size("episodes").alias("episode_count"),
-        F.coalesce(percentile_of("o_episode", 0.5) / fps, F.lit(0.0)).alias("episode_median_s"),
-        F.size(F.filter("episodes", lambda x: count_true(F.slice("said", x["a"] + 1, x["b"] - x["a"])) >= least)).alias("episode_count_speech"),
-        (count_true("fs.active") / fps).alias("gesture_seconds_speech"),
-        F.size("long").alias("speech_segment_count"),
-        F.try_divide(F.size(F.filter("long", lambda x: count_true(F.slice("act", x["a"] + 1, x["b"] - x["a"])) >= least)), F.size("long")).alias("speech_segments_covered"),
-        F.when(F.col("even"), F.col("best.r")).alias("sync_r"),
-        F.when(F.col("even"), -F.col("best.l") * BIN_S).alias("sync_lag_s"),
-        F.when(F.col("even"), F.get("corr", F.lit(lags))["r"]).alias("sync_r_zero"),
-    )
-
-
-def _abduction(x: Column, elbow: str, shoulder: str) -> Column:
-    """Angle of an upper arm from straight down, in degrees."""
-    d = [x[f"{elbow}_{a}"] - x[f"{shoulder}_{a}"] for a in "xyz"]
-    length = F.sqrt(d[0] ** 2 + d[1] ** 2 + d[2] ** 2)
-    return F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), -d[1] / (length + 1e-9)))))
-
-
-def _bins(width: int, hop: int, fps: float) -> Column:
-    """Means of speed and speech in bins of BIN_S seconds; frames of a bin are sought where lost frames can have moved them."""
-    size = max(1, round(BIN_S * fps))
-    start, lost = F.col("window_index") * hop, F.lit(width) - F.size("f")
-
-    def one(j: Column) -> Column:
-        near = F.slice("f", F.greatest(F.lit(0), j * size - lost) + 1, size + lost)
-        mine = F.filter(near, lambda x: F.floor((x["frame"] - start) / F.lit(size)) == j)
-        v = F.filter(mine["arm_speed"], lambda x: x.isNotNull())
-        s = F.filter(mine["speech"], lambda x: x.isNotNull())
-        return F.struct(F.try_divide(F.aggregate(v, F.lit(0.0), lambda t, x: t + x), F.size(v)).alias("v"), F.try_divide(F.size(F.filter(s, lambda x: x)), F.size(s)).alias("s"))
-
-    return F.transform(F.array(*[F.lit(j) for j in range(width // size)]), one)
-
-
-def _varies(c: str, flat: float = 1e-9) -> Column:
-    known = F.filter(F.col("bins")[c], lambda x: x.isNotNull())
-    mean = F.try_divide(F.aggregate(known, F.lit(0.0), lambda t, x: t + x), F.size(known))
-    return F.coalesce((F.size(known) >= LEAST_BINS) & (F.sqrt(F.try_divide(F.aggregate(F.transform(known, lambda x: (x - mean) ** 2), F.lit(0.0), lambda t, x: t + x), F.size(known))) > flat), F.lit(False))
-
-
-def _lagged(lag: int, width: int, fps: float) -> Column:
-    """Pairs of speed and the speech ``lag`` bins before it."""
-    n = width // max(1, round(BIN_S * fps)) - abs(lag)
-    if n < 1:
-        return F.array().cast("array<struct<x: double, y: double>>")
-    v, s = F.slice("bins", max(lag, 0) + 1, n), F.slice("bins", max(-lag, 0) + 1, n)
-    return F.zip_with(v, s, lambda a, b: F.struct(a["v"].alias("x"), b["s"].alias("y")))
+    size, least, step = max(1, round(BIN_S * fps)), max(1, round(OVERLAP_S * fps)), max(1, round(SAMPLE_S * fps))
+    lags, bins, arms = round(MOST_LAG_S / BIN_S), width // size, ("wrist", "elbow")
+    status = "'ok'" if width >= round(2 * fps) else f"'window_too_short:{width}'"
+    w = w.selectExpr("*", "filter(f, x -> x.speech) AS fs").selectExpr("*", "CASE WHEN size(fs) > 0 THEN fs ELSE f END AS fp")
+    first = {
+        "o_speed": in_order("f.arm_speed"),
+        "o_speech": in_order("fs.arm_speed"),
+        "o_conf": in_order("f.kp_conf"),
+        "o_cos": in_order("concat(f.step_cosine, f.step_cosine_right)"),
+        "o_hand": in_order("f.hand_speed"),
+        "o_torso": in_order("f.torso_speed"),
+        "o_height": in_order("transform(fp, x -> greatest(x.lw_y, x.rw_y))"),
+        "o_abd": in_order(f"transform(fp, x -> greatest({', '.join(_abduction(e, s) for e, s in zip(SIDES['elbow'], SIDES['shoulder'], strict=True))}))"),
+        "samples": f"filter(fp, (x, i) -> i % {step} = 0)",
+        "episodes": stretches("f.active"),
+        "segments": stretches("f.speech"),
+        "breaks": stretches("transform(f.smplh_valid, x -> NOT x)"),
+        "bins": _bins(width, hop, size) if bins else "cast(array() AS array<struct<v: double, s: double>>)",
+    } | {f"o_{p}_{a}": in_order(f"f.{p}_{a}") for k in arms for p in SIDES[k] for a in "xyz"}
+    second = {
+        "o_episode": "sort_array(transform(episodes, x -> cast(x.b - x.a AS double)))",
+        "long": f"filter(segments, x -> x.b - x.a >= {round(SEGMENT_S * fps)})",
+        "speech_rate": share("fs.active"),
+        "silence_rate": share("filter(f, x -> NOT x.speech).active"),
+        "corr": "array(" + ", ".join(f"named_struct('r', {correlation(_lagged(k, bins))}, 'lag', {k})" for k in range(-lags, lags + 1)) + ")",
+        "even": f"coalesce({_varies('v')} AND {_varies('s')}, false)",
+    } | {f"o_{k}": in_order(_excursion(k)) for k in arms}
+    # of equal correlations the first lag
+    third = {"best": "array_max(transform(filter(corr, c -> c.r IS NOT NULL), c -> named_struct('k', round(c.r, 12), 'l', -c.lag, 'r', c.r)))"}
+    for made in (first, second, third):
+        w = w.selectExpr("*", *[f"{e} AS {c}" for c, e in made.items()])
+    measures = {
+        "window_frames": "size(f)",
+        "window_seconds": f"{width / fps!r}D",
+        "speech_seconds": f"size(fs) / {fps!r}D",
+        "speech_frac": share("f.speech"),
+        "smplh_valid_frac": share("f.smplh_valid"),
+        "smplh_longest_invalid_s": f"coalesce(array_max(transform(breaks, x -> x.b - x.a)), 0) / {fps!r}D",
+        "box_valid_frac": share("f.box_valid"),
+        "hand_frozen_frac": share("f.hand_frozen"),
+        "kp_conf_p10": percentile_of("o_conf", 0.1),
+        "implausible_frac": share(f"transform(f.arm_speed, x -> x > {FAST_MM_S!r}D)"),
+        "consistency_r": correlation("transform(f, x -> named_struct('x', x.arm_speed, 'y', x.arm_speed_2d))"),
+        "step_cosine_p50": f"CASE WHEN size(o_cos) >= {LEAST_COSINES} THEN {percentile_of('o_cos', 0.5)} END",
+        "step_cosine_n": "size(o_cos)",
+        "wrist_excursion_p90_mm": percentile_of("o_wrist", 0.9),
+        "wrist_range_mm": _extent("wrist"),
+        "elbow_excursion_p90_mm": percentile_of("o_elbow", 0.9),
+        "elbow_range_mm": _extent("elbow"),
+        "hand_artic_p75_rad_s": percentile_of("o_hand", 0.75),
+        "posture_spread_mm": f"CASE WHEN size(samples) >= {LEAST_SAMPLES} THEN greatest({', '.join(map(_spread, SIDES['wrist']))}) END",
+        "wrist_height_p75_mm": percentile_of("o_height", 0.75),
+        "hands_together_frac": share(f"transform(fp, x -> {distance('x.lw', 'x.rw')} < {TOGETHER_MM!r}D)"),
+        "arm_abduction_p75_deg": percentile_of("o_abd", 0.75),
+        "torso_travel_mm_s_p50": percentile_of("o_torso", 0.5),
+        "arm_speed_p50_mm_s": percentile_of("o_speed", 0.5),
+        "arm_speed_speech_p50_mm_s": percentile_of("o_speech", 0.5),
+        "gesture_frac": share("f.active"),
+        "gesture_frac_speech": "speech_rate",
+        "gesture_frac_silence": "silence_rate",
+        "gesture_speech_ratio": f"(speech_rate + {RATIO_FLOOR!r}D) / (silence_rate + {RATIO_FLOOR!r}D)",
+        "episode_count": "size(episodes)",
+        "episode_median_s": f"coalesce({percentile_of('o_episode', 0.5)} / {fps!r}D, 0D)",
+        "episode_count_speech": with_enough("episodes", "f.speech", least),
+        "gesture_seconds_speech": f"size(filter(fs.active, x -> x)) / {fps!r}D",
+        "speech_segment_count": "size(long)",
+        "speech_segments_covered": f"try_divide({with_enough('long', 'f.active', least)}, size(long))",
+        "sync_r": "CASE WHEN even THEN best.r END",
+        "sync_lag_s": f"CASE WHEN even THEN -best.l * {BIN_S!r}D END",
+        "sync_r_zero": f"CASE WHEN even THEN get(corr, {lags}).r END",
+    }
+    if status != "'ok'":
+        measures = {c: f"CASE WHEN false THEN {e} END" for c, e in measures.items()}
+    place = {"start_frame": f"window_index * {hop}", "end_frame": f"window_index * {hop} + {width}", "start_s": f"window_index * {hop} / {fps!r}D", "gesture_status": status}
+    return w.selectExpr("file_id", "window_index", *[f"{e} AS {c}" for c, e in (place | measures).items()])

@@ -55,17 +55,18 @@ def hann_weights(n: int) -> list[float]:
 
 def hann_smooth(df: DataFrame, key: str, order: str, columns: Sequence[str], n: int = 5, suffix: str = "_smooth") -> DataFrame:
     """Zero-phase Hann smoothing over n (odd) rows; ends repeat the first and last value; series of n rows or fewer stay."""
-    b, weights, h = Blocks(df, key, order), hann_weights(n), n // 2
-    new = {}
-    for c in columns:
-        x = F.col(c).cast("double")
-        ends = F.first(x).over(b.w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.last(x).over(b.w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        terms = [F.coalesce(F.lag(x, h - k).over(b.w), ends[0]) * w if k < h else x * w if k == h else F.coalesce(F.lead(x, k - h).over(b.w), ends[1]) * w for k, w in enumerate(weights)]
-        total = terms[0]
-        for t in terms[1:]:
-            total = total + t
-        new[c + suffix] = F.when(F.count(F.lit(1)).over(b.whole) <= n, x).otherwise(total)
-    return b.own(**new)
+    b = Blocks(df, key, order, halo=max(HALO, n))
+    return b.own(**{c + suffix: smoothed(b, c, n) for c in columns})
+
+
+def smoothed(b: Blocks, c: str, n: int = 5) -> Column:
+    """``hann_smooth`` of one column over blocks."""
+    x, h, every = F.col(c).cast("double"), n // 2, b.w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = F.first(x).over(every), F.last(x).over(every)
+    total = F.lit(0.0)
+    for k, w in enumerate(hann_weights(n)):
+        total = total + w * (F.coalesce(F.lag(x, h - k).over(b.w), ends[0]) if k < h else x if k == h else F.coalesce(F.lead(x, k - h).over(b.w), ends[1]))
+    return F.when(F.count(F.lit(1)).over(b.whole) <= n, x).otherwise(total)
 
 
 def _norm(parts: Sequence[Column]) -> Column:
@@ -77,32 +78,50 @@ def _norm(parts: Sequence[Column]) -> Column:
 
 def central_speed(df: DataFrame, key: str, order: str, axes: Sequence[str], fps: float, h: int = 2, name: str = "speed") -> DataFrame:
     """Speed by central difference over 2h rows; ends repeat the first and last such value; 0 for series of 2h rows or fewer."""
-    b = Blocks(df, key, order)
-    raw = _norm([F.lead(F.col(a).cast("double"), h).over(b.w) - F.lag(F.col(a).cast("double"), h).over(b.w) for a in axes]) * (fps / (2.0 * h))
-    b.rows = b.rows.withColumn("_k_v", raw)
-    head = F.first("_k_v", ignorenulls=True).over(b.w.rowsBetween(0, h))
-    tail = F.last("_k_v", ignorenulls=True).over(b.w.rowsBetween(-h, 0))
-    return b.own(**{name: F.coalesce("_k_v", head, tail, F.lit(0.0))})
+    b = Blocks(df, key, order, halo=max(HALO, 4 * h))
+    b.rows = b.rows.withColumn("_k_v", differenced(b, axes, fps, h))
+    return b.own(**{name: ends_filled(b, "_k_v", h)})
+
+
+def differenced(b: Blocks, axes: Sequence[str], fps: float, h: int = 2) -> Column:
+    """Speed by central difference over blocks; NULL at the ends, which ``ends_filled`` sets."""
+    return _norm([F.lead(F.col(a).cast("double"), h).over(b.w) - F.lag(F.col(a).cast("double"), h).over(b.w) for a in axes]) * (fps / (2.0 * h))
+
+
+def ends_filled(b: Blocks, c: str, h: int = 2) -> Column:
+    """The first or last value within ``h`` rows where there is none, else 0."""
+    return F.coalesce(c, F.first(c, ignorenulls=True).over(b.w.rowsBetween(0, h)), F.last(c, ignorenulls=True).over(b.w.rowsBetween(-h, 0)), F.lit(0.0))
 
 
 def rolling_travel(df: DataFrame, key: str, order: str, axes: Sequence[str], half: int, name: str = "travel") -> DataFrame:
     """Diagonal of the box that a track stays in over ``half`` rows to either side."""
     b = Blocks(df, key, order, halo=max(HALO, half))
+    return b.own(**{name: travelled(b, axes, half)})
+
+
+def travelled(b: Blocks, axes: Sequence[str], half: int) -> Column:
+    """``rolling_travel`` over blocks."""
     w = b.w.rowsBetween(-half, half)
-    return b.own(**{name: _norm([F.max(F.col(a).cast("double")).over(w) - F.min(F.col(a).cast("double")).over(w) for a in axes])})
+    return _norm([F.max(F.col(a).cast("double")).over(w) - F.min(F.col(a).cast("double")).over(w) for a in axes])
 
 
 def step_cosine(df: DataFrame, key: str, order: str, axes: Sequence[str], min_step: float = 0.01, name: str = "cosine") -> DataFrame:
     """Cosine between the step to a row and the step from it; NULL at ends and where either step is ``min_step`` or shorter."""
     b = Blocks(df, key, order)
+    return b.own(**{name: turning(b, axes, min_step)})
+
+
+def turning(b: Blocks, axes: Sequence[str], min_step: float = 0.01) -> Column:
+    """``step_cosine`` over blocks; keeps the steps as columns of the blocks."""
+    stem = f"_k_{axes[0]}"
     into = [F.col(a).cast("double") - F.lag(F.col(a).cast("double")).over(b.w) for a in axes]
     out = [F.lead(F.col(a).cast("double")).over(b.w) - F.col(a).cast("double") for a in axes]
-    b.rows = b.rows.withColumns({f"_k_i{k}": x for k, x in enumerate(into)} | {f"_k_o{k}": x for k, x in enumerate(out)})
-    i, o = [F.col(f"_k_i{k}") for k in range(len(axes))], [F.col(f"_k_o{k}") for k in range(len(axes))]
+    b.rows = b.rows.withColumns({f"{stem}_i{k}": x for k, x in enumerate(into)} | {f"{stem}_o{k}": x for k, x in enumerate(out)})
+    i, o = [F.col(f"{stem}_i{k}") for k in range(len(axes))], [F.col(f"{stem}_o{k}") for k in range(len(axes))]
     dot = F.lit(0.0)
     for x, y in zip(i, o, strict=True):
         dot = dot + x * y
-    return b.own(**{name: F.when((_norm(i) > min_step) & (_norm(o) > min_step) & (_norm(i) * _norm(o) > 1e-12), F.try_divide(dot, _norm(i) * _norm(o)))})
+    return F.when((_norm(i) > min_step) & (_norm(o) > min_step) & (_norm(i) * _norm(o) > 1e-12), F.try_divide(dot, _norm(i) * _norm(o)))
 
 
 def frozen(df: DataFrame, key: str, order: str, value: str, name: str = "frozen") -> DataFrame:
@@ -113,20 +132,23 @@ def frozen(df: DataFrame, key: str, order: str, value: str, name: str = "frozen"
     return b.own(**{name: F.coalesce((F.col(value) == F.lag(value).over(b.w)) & sound, F.lit(False))})
 
 
-def forward_fill(df: DataFrame, key: str, order: str, value: str, name: str = "filled", block: int = BLOCK) -> DataFrame:
-    """Last measured value so far; a leading gap takes the first one; 0 where a series has none.
+def forward_fill(df: DataFrame, key: str, order: str, value: str | dict[str, str], name: str = "filled", block: int = BLOCK) -> DataFrame:
+    """Last measured value so far; a leading gap takes the first one; 0 where a series has none. ``value`` may be a mapping of
+    columns to the names of what they are filled to, all done in one pass.
 
     The value that enters a block is carried from the blocks before it, so a block is all that a task orders.
     """
-    x = measured(value)
-    rows = df.withColumn("_k_x", x).withColumn("_k_b", F.floor(F.col(order) / F.lit(block)))
-    ends = rows.filter("_k_x IS NOT NULL").groupBy(key, "_k_b").agg(F.max_by("_k_x", order).alias("last"), F.min_by("_k_x", order).alias("first"))
-    blocks = rows.select(key, "_k_b").distinct().join(ends, [key, "_k_b"], "left")
+    names = value if isinstance(value, dict) else {value: name}
+    at = dict(enumerate(names))
+    rows = df.withColumns({f"_k_x{i}": measured(c) for i, c in at.items()}).withColumn("_k_b", F.floor(F.col(order) / F.lit(block)))
+    when = {i: F.when(F.col(f"_k_x{i}").isNotNull(), F.col(order)) for i in at}
+    ends = rows.groupBy(key, "_k_b").agg(*[F.max_by(f"_k_x{i}", when[i]).alias(f"l{i}") for i in at], *[F.min_by(f"_k_x{i}", when[i]).alias(f"f{i}") for i in at])
     by = Window.partitionBy(key).orderBy("_k_b")
-    carried = blocks.select(key, "_k_b", F.last("last", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1)).alias("_k_in"), F.first("first", ignorenulls=True).over(by.rowsBetween(0, Window.unboundedFollowing)).alias("_k_next"))
+    before, after = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(0, Window.unboundedFollowing)
+    carried = ends.select(key, "_k_b", *[F.coalesce(F.last(f"l{i}", ignorenulls=True).over(before), F.first(f"f{i}", ignorenulls=True).over(after)).alias(f"_k_in{i}") for i in at])
     w = Window.partitionBy(key, "_k_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.join(carried, [key, "_k_b"]).withColumn(name, F.coalesce(F.last("_k_x", ignorenulls=True).over(w), "_k_in", "_k_next", F.lit(0.0)))
-    return out.select(*df.columns, name)
+    out = rows.join(carried, [key, "_k_b"]).withColumns({names[c]: F.coalesce(F.last(f"_k_x{i}", ignorenulls=True).over(w), f"_k_in{i}", F.lit(0.0)) for i, c in at.items()})
+    return out.select(*df.columns, *names.values())
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, time: str, value: str, name: str, block: int) -> DataFrame:
@@ -147,15 +169,23 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, time: str, value: str
     return filled.filter("_k_left").select(*cols, name)
 
 
+def _isles(df: DataFrame, key: str, order: str, mask: Column, block: int) -> DataFrame:
+    """Stretches ``k, s, t`` of consecutive positions where ``mask`` holds, cut at the borders of blocks."""
+    held = df.filter(mask).select(F.col(key).alias("k"), F.col(order).cast("bigint").alias("o")).filter("k IS NOT NULL AND o IS NOT NULL").distinct()
+    w = Window.partitionBy("k", "b").orderBy("o")
+    return held.withColumn("b", F.floor(F.col("o") / F.lit(block))).withColumn("g", F.col("o") - F.row_number().over(w)).groupBy("k", "b", "g").agg(F.min("o").alias("s"), (F.max("o") + 1).alias("t"))
+
+
+def _merged(isles: DataFrame, key: str) -> DataFrame:
+    return merge_intervals(isles, "k", "s", "t").filter(~F.col("is_gap")).select(F.col("entity").alias(key), F.col("start_pos").alias("start"), F.col("end_pos").alias("stop"))
+
+
 def runs(df: DataFrame, key: str, order: str, mask: Column, block: int = BLOCK) -> DataFrame:
     """Half-open stretches ``key, start, stop`` of consecutive positions where ``mask`` holds.
 
     Islands within blocks first; those that touch a border join by the interval sweep.
     """
-    held = df.filter(mask).select(F.col(key).alias("k"), F.col(order).cast("bigint").alias("o")).filter("k IS NOT NULL AND o IS NOT NULL").distinct()
-    w = Window.partitionBy("k", "b").orderBy("o")
-    isles = held.withColumn("b", F.floor(F.col("o") / F.lit(block))).withColumn("g", F.col("o") - F.row_number().over(w)).groupBy("k", "b", "g").agg(F.min("o").alias("s"), (F.max("o") + 1).alias("t"))
-    return merge_intervals(isles, "k", "s", "t").filter(~F.col("is_gap")).select(F.col("entity").alias(key), F.col("start_pos").alias("start"), F.col("end_pos").alias("stop"))
+    return _merged(_isles(df, key, order, mask, block), key)
 
 
 def close_open(stretches: DataFrame, key: str, close: int, open_: int) -> DataFrame:
@@ -163,18 +193,28 @@ def close_open(stretches: DataFrame, key: str, close: int, open_: int) -> DataFr
 
     A gap before the first or after the last stretch isn't one between two, and stays.
     """
-    wide = stretches.select(key, "start", (F.col("stop") + close).alias("stop"))
-    return merge_intervals(wide, key, "start", "stop").filter(~F.col("is_gap")).select(F.col("entity").alias(key), F.col("start_pos").alias("start"), (F.col("end_pos") - close).alias("stop")).filter(F.col("stop") - F.col("start") >= open_)
+    wide = stretches.select(F.col(key).alias("k"), F.col("start").alias("s"), (F.col("stop") + close).alias("t"))
+    return _merged(wide, key).withColumn("stop", F.col("stop") - close).filter(F.col("stop") - F.col("start") >= open_)
+
+
+def closed_runs(df: DataFrame, key: str, order: str, mask: Column, close: int, open_: int, block: int = BLOCK) -> DataFrame:
+    """``close_open`` of ``runs``, by one sweep: bridging joins what a block border has cut as well."""
+    isles = _isles(df, key, order, mask, block).select(F.col("k").alias(key), F.col("s").alias("start"), F.col("t").alias("stop"))
+    return close_open(isles, key, close, open_)
 
 
-def in_stretches(points: DataFrame, stretches: DataFrame, key: str, order: str, name: str, block: int = BLOCK) -> DataFrame:
+def in_stretches(points: DataFrame, stretches: DataFrame, key: str, order: str, name: str, block: int = 512) -> DataFrame:
     """``points`` with a BOOLEAN: does the position lie in one of the key's stretches (which don't overlap)?
 
-    An equi-join on key and block: a stretch is in every block it touches. No range join, no pairs of a key's rows.
+    An equi-join on key and block: a block of positions has the list of the stretches that touch it, no longer than the block.
+    No range join, no pairs of a key's rows, and points are moved once at most.
     """
-    parts = stretches.select(F.col(key).alias("_k_k"), F.col("start").alias("_k_s"), F.col("stop").alias("_k_t"), F.explode(F.expr(f"sequence(floor(start / {block}), floor((stop - 1) / {block}))")).alias("_k_p"))
-    hits = points.select(F.col(key).alias("_k_k"), F.col(order).alias("_k_o"), F.floor(F.col(order) / F.lit(block)).alias("_k_p")).distinct().join(parts, ["_k_k", "_k_p"]).filter("_k_o >= _k_s AND _k_o < _k_t").select("_k_k", "_k_o", F.lit(True).alias(name))
-    return points.join(hits, (F.col(key) == F.col("_k_k")) & (F.col(order) == F.col("_k_o")), "left").select(*points.columns, F.coalesce(name, F.lit(False)).alias(name))
+    parts = stretches.select(F.col(key).alias("_k_k"), F.struct(F.col("start").alias("s"), F.col("stop").alias("t")).alias("_k_x"), F.explode(F.expr(f"sequence(floor(start / {block}), floor((stop - 1) / {block}))")).alias("_k_p"))
+    lists = parts.groupBy("_k_k", "_k_p").agg(F.collect_list("_k_x").alias("_k_l"))
+    o = F.col(order)
+    at = points.withColumn("_k_b", F.floor(o / F.lit(block)))
+    out = at.join(lists, (F.col(key) == F.col("_k_k")) & (F.col("_k_b") == F.col("_k_p")), "left")
+    return out.select(*points.columns, F.coalesce(F.exists("_k_l", lambda x: (o >= x["s"]) & (o < x["t"])), F.lit(False)).alias(name))
 
 
 def speech_mask(points: DataFrame, intervals: DataFrame, key: str, order: str, fps: float, start: str = "start_s", end: str = "end_s", name: str = "in_speech") -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions import parse
 from ..functions.expr import measured
 from ..operators import geometry, measures, rules, selection, series, windows
 from ..operators.rule_tables import GATES
-from ..session import table
+from ..session import Durable, table
 
 W, H = 300, 100
 K = ["file_id", "window_index"]
@@ -58,8 +58,8 @@ def _pose(spark: SparkSession, d: str) -> DataFrame:
 
 def _measured(spark: SparkSession, d: str) -> DataFrame:
     """Measures of all windows; activity is closed and opened over whole files first."""
-    pose = _pose(spark, d)
-    active = series.close_open(series.runs(pose, "file_id", "frame", F.col("raw")), "file_id", 8, 9)
+    pose = Durable(spark).keep(_pose(spark, d))  # read twice
+    active = series.closed_runs(pose, "file_id", "frame", F.col("raw"), 8, 9)
     return measures.window_measures(series.in_stretches(pose, active, "file_id", "frame", "active"), W, H)
 
 
@@ -82,7 +82,7 @@ def runs_islands(spark, d):
 
 def close_open_mask(spark, d):
     """Activity (speed and travel) with short pauses bridged and short bursts dropped."""
-    return series.close_open(series.runs(_pose(spark, d), "file_id", "frame", F.col("raw")), "file_id", 8, 9)
+    return series.closed_runs(_pose(spark, d), "file_id", "frame", F.col("raw"), 8, 9)
 
 
 def closed_mask_frames(spark, d):
