@@ -101,3 +101,9 @@ def overlap_seconds(start: str | Column, end: str | Column, a: float, b: float)
     s, e = measured(start), measured(end)
     inside = (e > s) & (e > a) & (s < b)
     return F.count_if(inside), F.coalesce(F.sum(F.when(inside, F.least(e, F.lit(b)) - F.greatest(s, F.lit(a)))), F.lit(0.0))
+
+
+def membership_digest(ids: str | Column) -> Column:
+    """Aggregate: sha256 of the sorted ids of a shard, joined by a unit separator. A shard's ids meet in one row: for shards of
+    a bounded size, as hash shards are; ``membership_hash`` has no such bound."""
+    return F.sha2(F.array_join(F.array_sort(F.collect_list(col(ids).cast("string"))), UNIT), 256)

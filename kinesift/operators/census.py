@@ -26,6 +26,23 @@ def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, tak
     return left.join(r, F.col(left_key) == F.col("_k_r"), "left").drop("_k_r").withColumn(matched, F.coalesce(matched, F.lit(False)))
 
 
+def with_metadata(inventory: DataFrame, interactions: DataFrame, participants: DataFrame, relationships: DataFrame) -> DataFrame:
+    """The inventory with its metadata, still one row a file.
+
+    Interactions by ``interaction_id = prompt_hash``, which must be unique (``interaction_join``: is there one?). Participants
+    by vendor and id, repeated ones once; relationships by vendor (with or without its V) and session number, of which the
+    first of a session counts: their flags are FALSE where there is none.
+    """
+    out = lookup(inventory, interactions, "interaction_id", "prompt_hash", [c for c in interactions.columns if c not in (*inventory.columns, "prompt_hash")], "interaction_join")
+    vendor = F.regexp_replace("vendor_id", "^V", "")
+    people = participants.filter("vendor_id IS NOT NULL AND participant_id IS NOT NULL").select(vendor.alias("_k_v"), F.col("participant_id").alias("_k_i")).distinct()
+    sessions = relationships.select(vendor.alias("_k_v"), normalised_key("session_id").alias("_k_i")).filter("_k_v IS NOT NULL AND _k_i IS NOT NULL").distinct()
+    for table, key, flag in ((people, "participant_id", "participant_metadata_present"), (sessions, "session_id", "relationship_metadata_present")):
+        on = (F.regexp_replace("vendor", "^V", "") == F.col("_k_v")) & (F.col(key) == F.col("_k_i"))
+        out = out.join(table.withColumn(flag, F.lit(True)), on, "left").drop("_k_v", "_k_i").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    return out
+
+
 def null_safe_left(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join on keys where NULL meets NULL; the right side's keys are dropped."""
     cond = same(left, right, keys)

@@ -233,6 +233,30 @@ def crop_box(df: DataFrame, key: str, points: str, groups: Sequence[Sequence[int
     return out.select(key, *[((lo[a] + hi[a]) / 2 + s * half[a]).alias(f"{a}{n}") for n, s in ((0, -1), (1, 1)) for a in "xy"])
 
 
+def fitted_box(box: Sequence[Column], width: Column, height: Column, aspect: float = 1.0) -> Column:
+    """A box ``x0, y0, x1, y1`` of whole even pixels with the given aspect inside the raster, about the middle of ``box``.
+
+    The box is widened or heightened to the aspect; a box that the raster can't hold is cut to the largest one of the aspect
+    that it holds; then its corner is moved inside. No side is shorter than 32 pixels where the raster has them. NULL corners
+    stand for the whole raster.
+    """
+    w, h = width.cast("double"), height.cast("double")
+    known = box[0].isNotNull() & box[1].isNotNull() & box[2].isNotNull() & box[3].isNotNull()
+    # of a box of the right aspect its width says all
+    wide = F.greatest(box[2] - box[0], (box[3] - box[1]) * aspect)
+    side = F.least(F.when(known, wide).otherwise(w), w, h * aspect)
+    tall = side / aspect
+    x = F.when(known, (box[0] + box[2] - wide) / 2).otherwise(F.lit(0.0))
+    y = F.when(known, (box[1] + box[3] - wide / aspect) / 2).otherwise(F.lit(0.0))
+
+    def even(v: Column) -> Column:
+        return F.floor(v / 2) * 2
+
+    left, top = even(F.least(F.greatest(F.lit(0.0), x), w - side)), even(F.least(F.greatest(F.lit(0.0), y), h - tall))
+    right, bottom = left + F.least(F.greatest(F.lit(32), even(side)), w - left), top + F.least(F.greatest(F.lit(32), even(tall)), h - top)
+    return F.struct(*[v.cast("int").alias(c) for v, c in zip((left, top, right, bottom), ("x0", "y0", "x1", "y1"), strict=True)])
+
+
 def envelope(df: DataFrame, key: str, order: str, value: str, bins: int) -> DataFrame:
     """Smallest and largest value of ``bins`` equal parts of each series, in units of its peak; ``n`` rows from 0."""
     n = df.groupBy(key).agg((F.max(order) + 1).alias("_k_n"), F.greatest(F.lit(1e-6), F.max(F.abs(value))).alias("_k_peak"))

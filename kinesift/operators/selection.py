@@ -2,38 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import hash_order, measured
 from ..session import Durable
-from .intervals import merge_intervals
-
-#: Largest k for which Spark keeps the best k rows of every task before it shuffles.
-LIMIT = 1000
 
 
 def select_disjoint(df: DataFrame, key: str, start: str, stop: str, score: str, tie: Column, most: int) -> DataFrame:
     """Per key the best rows by score that don't overlap a better chosen one, ``most`` at most.
 
-    Greedy by score, as it must be. Rows of different continuous periods can't veto each other, so a fold runs per period
-    (found by the interval sweep), never over a whole key; and since choosing doesn't depend on how many were chosen, the
-    limit is the top ``most`` of the chosen. Score NULL, NaN or infinite counts 0; equal scores by ``tie``, then start.
-    Rows with NULL key, start, stop or an empty range are left out. Returns ``key, start, stop, score, pick``.
+    Greedy by score, as it must be: round after round the best row of each key that overlaps none of the chosen is chosen.
+    A round is a minimum, which combines before it shuffles, over rows that are checked against the key's few chosen ranges;
+    so no key, however many rows it has and however its ranges overlap, is ever gathered. There are ``most`` rounds at most,
+    run while the result is being put together.
+
+    Score NULL, NaN or infinite counts 0; equal scores by ``tie``, then start. Rows with NULL key, start, stop or an empty
+    range are left out, repeated rows count once, an empty table gives an empty result. Returns ``key, start, stop, score,
+    pick``.
     """
+    tables = Durable(df.sparkSession)
     s, t = F.col(start).cast("bigint"), F.col(stop).cast("bigint")
-    rows = df.select(F.col(key).alias("k"), s.alias("s"), t.alias("t"), F.coalesce(measured(score), F.lit(0.0)).alias("q"), tie.alias("tie")).filter("k IS NOT NULL AND t > s").distinct()
-    periods = merge_intervals(rows, "k", "s", "t").filter(~F.col("is_gap")).select(F.col("entity").alias("k"), F.col("start_pos").alias("a"), F.col("end_pos").alias("b"))
-    block = 1 << 14
-    spread = periods.select("k", "a", "b", F.explode(F.expr(f"sequence(floor(a / {block}), floor((b - 1) / {block}))")).alias("p"))
-    placed = rows.withColumn("p", F.floor(F.col("s") / F.lit(block))).join(spread, ["k", "p"]).filter("s >= a AND s < b")
-    lists = placed.groupBy("k", "a").agg(F.array_sort(F.collect_list(F.struct((-F.col("q")).alias("nq"), "tie", "s", "t"))).alias("l"))
-    empty = "cast(array() as array<struct<nq: double, tie: string, s: bigint, t: bigint>>)"
-    chosen = lists.withColumn("c", F.expr(f"aggregate(l, {empty}, (acc, x) -> CASE WHEN exists(acc, y -> x.s < y.t AND y.s < x.t) THEN acc ELSE concat(acc, array(x)) END)"))
-    flat = chosen.select("k", F.explode("c").alias("x")).select("k", "x.*")
-    best = Window.partitionBy("k").orderBy("nq", "tie", "s")
-    top = flat.withColumn("pick", F.row_number().over(best)).filter(F.col("pick") <= most)
-    return top.select(F.col("k").alias(key), F.col("s").alias("start"), F.col("t").alias("stop"), (-F.col("nq")).alias("score"), "pick")
+    rows = tables.keep(df.select(F.col(key).alias("k"), (-F.coalesce(measured(score), F.lit(0.0))).alias("nq"), tie.alias("tie"), s.alias("s"), t.alias("t")).filter("k IS NOT NULL AND t > s").distinct())
+    chosen = None
+    for pick in range(1, most + 1):
+        free = rows
+        if chosen is not None:
+            taken = chosen.groupBy("k").agg(F.collect_list(F.struct("s", "t")).alias("c"))  # fewer than ``most`` ranges
+            free = rows.join(taken, "k").filter("NOT exists(c, x -> x.s < t AND s < x.t)")
+        best = free.groupBy("k").agg(F.min(F.struct("nq", "tie", "s", "t")).alias("x")).select("k", "x.*", F.lit(pick).alias("pick"))
+        new = tables.keep(best)
+        chosen = new if chosen is None else chosen.unionByName(new)
+        if not new.limit(1).count():
+            break
+    if chosen is None:
+        chosen = rows.limit(0).withColumn("pick", F.lit(0))
+    return chosen.select(F.col("k").alias(key), F.col("s").alias("start"), F.col("t").alias("stop"), (-F.col("nq")).alias("score"), "pick")
 
 
 def within_quota(df: DataFrame, keys: list[str], order: list[Column], most: int, name: str = "rank_in_group") -> DataFrame:
@@ -71,6 +77,14 @@ def seeded_sample(df: DataFrame, key: str, seed: str, n: int) -> DataFrame:
     return df.withColumn("_k_h", hash_order(seed, key)).orderBy("_k_h", key).limit(n).drop("_k_h")
 
 
+def seeded_slices(df: DataFrame, key: str, seed: str, sizes: Sequence[int]) -> DataFrame:
+    """Slices of a shuffle drawn by seed and key, one after the other and so disjoint: adds ``slice``, from 0; rows beyond the last are left out."""
+    ends = [sum(sizes[: k + 1]) for k in range(len(sizes))]
+    ranked = global_rank(df, [hash_order(seed, key), F.col(key)], "_k_rank").filter(F.col("_k_rank") < (ends[-1] if ends else 0))
+    which = F.coalesce(*[F.when(F.col("_k_rank") < e, F.lit(k)) for k, e in enumerate(ends)], F.lit(-1))
+    return ranked.withColumn("slice", which).drop("_k_rank")
+
+
 def strided(df: DataFrame, order: list[Column], index: int, step: int) -> DataFrame:
     """Every ``step``-th row of a total order, from ``index``."""
     return global_rank(df, order, "_k_rank").filter(F.col("_k_rank") % step == index).drop("_k_rank")

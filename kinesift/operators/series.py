@@ -169,6 +169,18 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, time: str, value: str
     return filled.filter("_k_left").select(*cols, name)
 
 
+def on_screen(left: DataFrame, right: DataFrame, key: str, time: str, value: str, name: str, block: int, most_held: int = 2) -> DataFrame:
+    """``asof_join`` with a ``status``: "ok", or "stopped" where a key's left rows go on for more than ``most_held`` rows after
+    its last right one (up to so many the last value is held), or where it has no right row. Those have no value."""
+    last = right.filter(F.col(time).isNotNull()).groupBy(key).agg(F.max(time).alias("_k_end"))
+    beyond = left.join(last, key, "left").withColumn("_k_out", F.col("_k_end").isNull() | (F.col(time) > F.col("_k_end")))
+    over = beyond.groupBy(key).agg((F.count_if("_k_out") > most_held).alias("_k_over"))
+    held = asof_join(left, right, key, time, value, name, block)
+    bad = F.col("_k_end").isNull() | (F.col("_k_over") & (F.col(time) > F.col("_k_end")))
+    out = held.join(last, key, "left").join(over, key, "left")
+    return out.select(*left.columns, F.when(~bad, F.col(name)).alias(name), F.when(F.coalesce(bad, F.lit(True)), "stopped").otherwise("ok").alias("status"))
+
+
 def _isles(df: DataFrame, key: str, order: str, mask: Column, block: int) -> DataFrame:
     """Stretches ``k, s, t`` of consecutive positions where ``mask`` holds, cut at the borders of blocks."""
     held = df.filter(mask).select(F.col(key).alias("k"), F.col(order).cast("bigint").alias("o")).filter("k IS NOT NULL AND o IS NOT NULL").distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse
 from ..functions.expr import duplicate_keys, hash_order, measured
-from ..operators import census, geometry, handover
+from ..operators import census, geometry, handover, selection
 from ..session import table
 
 EXT = (".json", ".mp4", ".npz", ".wav")
@@ -116,8 +116,59 @@ def coverage_scalar(spark, d):
 
 
 def size_signature(spark, d):
-    i = _inv(spark, d)
-    return i.filter((F.col("npz_size_bytes") < 2_000_000) & F.coalesce(F.col("video_stream_present"), F.lit(True))).select("file_id", "npz_size_bytes", "probe_status")
+    """Empty placeholders by the exact sizes of two files. The inventory has one size, so stand-ins: files without a video
+    stream have the placeholder's video, those that the probe didn't read the placeholder's sound."""
+    i = _inv(spark, d).withColumns({"mp4_size_bytes": F.expr("CASE WHEN video_stream_present THEN npz_size_bytes * 3 ELSE 261 END"), "wav_size_bytes": F.expr("CASE WHEN probe_status = 'ok' THEN npz_size_bytes ELSE 58 END")})
+    return i.filter("mp4_size_bytes = 261 AND wav_size_bytes = 58").select("file_id", "npz_size_bytes", "probe_status", F.col("probe_status").eqNullSafe(F.lit("no_video_stream")).alias("no_video_stream"))
+
+
+def metadata_joined(spark, d):
+    """Files with interactions, participants and relationships, which are made from what clips say of them."""
+    c = table(spark, d, "clips_accepted")
+    interactions = c.filter("interaction_id IS NOT NULL").groupBy(F.col("interaction_id").alias("prompt_hash")).agg(F.max("interaction_type").alias("seen_type"))
+    people = c.select(F.regexp_replace("vendor", "^V", "").alias("vendor_id"), parse.file_id_parts("file_id")["participant_id"].alias("participant_id"))
+    sessions = c.select(F.col("vendor").alias("vendor_id"), F.col("session_id").cast("bigint").cast("string").alias("session_id"))
+    j = census.with_metadata(_inv(spark, d), interactions, people, sessions)
+    return j.select("file_id", "seen_type", "interaction_join", "participant_metadata_present", "relationship_metadata_present")
+
+
+def item_clips(spark, d):
+    """Each file's item with its clips in order of start, eight at most: what a renderer looks up."""
+    c = keep_first_clips(spark, d, "file_id", "start_frame", "clip_score").filter("start_frame IS NOT NULL AND file_id IS NOT NULL")
+    top = selection.within_quota(c, ["file_id"], [F.desc_nulls_last(measured("clip_score")), F.col("clip_id")], 8)
+    lists = top.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("start_frame", "clip_id"))).alias("l"))
+    return lists.select("file_id", F.array_join(F.transform("l", lambda x: x["clip_id"]), ";").alias("clips"))
+
+
+def seeded_slices(spark, d):
+    """Two disjoint slices of a shuffle of the files."""
+    return selection.seeded_slices(_inv(spark, d).select("file_id"), "file_id", "elm", [40, 25])
+
+
+def shard_digests(spark, d):
+    shard = F.pmod(F.conv(F.substring(F.sha2("file_id", 256), 1, 8), 16, 10).cast("bigint"), F.lit(16))
+    return _inv(spark, d).groupBy(shard.alias("shard")).agg(parse.membership_digest("file_id").alias("digest"))
+
+
+def stale_shards(spark, d):
+    """Shards whose members aren't just those that clips come from: an increment must do them again."""
+    shard = F.pmod(F.conv(F.substring(F.sha2("file_id", 256), 1, 8), 16, 10).cast("bigint"), F.lit(64))
+    work = _inv(spark, d).select("file_id", shard.alias("shard"))
+    seen = table(spark, d, "clips_accepted").select("file_id").distinct().join(work, "file_id")
+    done = seen.groupBy("shard").agg(parse.membership_hash("file_id").alias("membership")).withColumn("fingerprint", F.lit("v1"))
+    return handover.stale_shards(work, "shard", "file_id", done, "v1")
+
+
+def slice_statuses(spark, d):
+    """Do the frames that clips promise exist? ``frame_tracks`` is a sample of files with lost frames, so many don't."""
+    frames = table(spark, d, "frame_tracks").select("file_id", "frame")
+    return handover.slice_statuses(keep_first_clips(spark, d, "file_id", "start_frame", "end_frame"), frames, {})
+
+
+def keep_first_clips(spark, d, *columns):
+    """Every clip once, as exported first."""
+    t = table(spark, d, "clips_accepted").select("clip_id", "written_ts", "run_id", *columns)
+    return census.keep_first(t, ["clip_id"], [F.col("written_ts"), F.col("run_id")]).drop("written_ts", "run_id")
 
 
 def shard_membership(spark, d):
@@ -147,7 +198,8 @@ def reason_histogram(spark, d):
 
 
 def binding_check(spark, d):
-    return census.binding_conflicts(table(spark, d, "verdicts"), table(spark, d, "clips_accepted"), "review_item_id", "file_id")
+    """Clips whose participant isn't spelled as in the inventory."""
+    return census.binding_conflicts(table(spark, d, "clips_accepted").select("file_id", "participant_id").distinct(), table(spark, d, "inventory"), "file_id", "participant_id")
 
 
 def truth_values(spark, d):
@@ -168,18 +220,17 @@ def keep_first_export(spark, d):
 
 def manifest_rows(spark, d):
     """The hand-over: one row a clip with resolved paths, in a fixed column order."""
-    c = keep_first_export(spark, d).select("clip_id", "run_id")
-    t = table(spark, d, "clips_accepted").join(c, ["clip_id", "run_id"]).dropDuplicates(["clip_id"])
+    t = keep_first_clips(spark, d, *[c for c in table(spark, d, "clips_accepted").columns if c not in ("clip_id", "written_ts", "run_id")])
     return handover.manifest(t, _inv(spark, d)).select("clip_id", "pose_path", "start_frame", "end_frame", F.round("fps", 6).alias("fps"))
 
 
 def manifest_summary(spark, d):
-    return handover.manifest_summary(table(spark, d, "clips_accepted").dropDuplicates(["clip_id"]))
+    return handover.manifest_summary(keep_first_clips(spark, d, "vendor", "file_id", "window_seconds"))
 
 
 def manifest_problems(spark, d):
     """Clips whose promise doesn't hold: ranges, lengths, or speech seconds that the intervals contradict."""
-    clips = table(spark, d, "clips_accepted").select("clip_id", "start_frame", "end_frame", "window_seconds", "fps", "speech_seconds").dropDuplicates(["clip_id"])
+    clips = keep_first_clips(spark, d, "start_frame", "end_frame", "window_seconds", "fps", "speech_seconds")
     return handover.verify(clips, table(spark, d, "clip_speech")).select("clip_id", "problem")
 
 
@@ -218,8 +269,9 @@ def speech_totals(spark, d):
     return handover.speech_totals(table(spark, d, "clip_speech")).filter("plain_ms <> merged_ms")
 
 
-QUERIES = {f.__name__: f for f in (id_parse, path_build, rational_fps, clip_key, left_join_indicator, nullsafe_join, semi_join, missing_anti, extra_anti, pair_self_join, duration_by_group, two_level_summary, activity_summary, rate_raster, set_string_agg, unpivot_union, coverage_scalar, size_signature, shard_membership, pending_files, last_write_wins, verdict_counts_zero_filled, reason_histogram, binding_check, truth_values, parsed_times, duplicate_exports, keep_first_export, manifest_rows, manifest_summary, manifest_problems, harmonised_tiers, array_slice_norm, pairwise_distance, picked_rows, hash_fraction, speech_totals)}
+QUERIES = {f.__name__: f for f in (id_parse, path_build, rational_fps, clip_key, left_join_indicator, nullsafe_join, semi_join, missing_anti, extra_anti, pair_self_join, duration_by_group, two_level_summary, activity_summary, rate_raster, set_string_agg, unpivot_union, coverage_scalar, size_signature, metadata_joined, item_clips, seeded_slices, shard_digests, stale_shards, slice_statuses, shard_membership, pending_files, last_write_wins, verdict_counts_zero_filled, reason_histogram, binding_check, truth_values, parsed_times, duplicate_exports, keep_first_export, manifest_rows, manifest_summary, manifest_problems, harmonised_tiers, array_slice_norm, pairwise_distance, picked_rows, hash_fraction, speech_totals)}
 
+_FIRST = "c AS (SELECT * FROM clips_accepted QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY written_ts, run_id) = 1)"
 _I = "i AS (SELECT *, CASE WHEN isfinite(observed_duration_s) THEN observed_duration_s END AS seconds FROM inventory)"
 _PATHS = """want AS (SELECT file_id, source_relbase || e AS relative_path, e AS extension, all_modalities_present AS whole FROM inventory, (VALUES ('.json'), ('.mp4'), ('.npz'), ('.wav')) x(e)),
 have AS (SELECT relative_path, extension FROM want WHERE whole UNION ALL SELECT DISTINCT source_relbase || '.tmp.wav', '.wav' FROM clips_accepted)"""
@@ -253,13 +305,26 @@ SELECT '.npz' AS extension, count(*) AS files, CAST(sum(n) AS BIGINT) AS bytes,
 UNION ALL SELECT '.npz', count(n), CAST(coalesce(sum(n), 0) AS BIGINT), 'expected' FROM w UNION ALL SELECT '.mp4', count(*) FILTER (WHERE v), CAST(coalesce(sum(m), 0) AS BIGINT), 'expected' FROM w""",
     "coverage_scalar": f"""WITH {_I}, {_PATHS} SELECT count(*) AS files, count(*) FILTER (WHERE all_modalities_present) AS complete, count(*) FILTER (WHERE probe_status = 'ok') AS probed, count(seconds) AS timed, count(*) FILTER (WHERE interaction_type IS NULL) AS no_type,
   (SELECT count(*) FROM want WHERE relative_path NOT IN (SELECT relative_path FROM have)) AS missing, (SELECT count(*) FROM have WHERE relative_path NOT IN (SELECT relative_path FROM want)) AS extra FROM i""",
-    "size_signature": "SELECT file_id, npz_size_bytes, probe_status FROM inventory WHERE npz_size_bytes < 2000000 AND coalesce(video_stream_present, true)",
+    "size_signature": "SELECT file_id, npz_size_bytes, probe_status, probe_status IS NOT DISTINCT FROM 'no_video_stream' AS no_video_stream FROM inventory WHERE NOT coalesce(video_stream_present, false) AND probe_status IS DISTINCT FROM 'ok'",
+    "metadata_joined": """WITH i AS (SELECT interaction_id, max(interaction_type) AS seen_type FROM clips_accepted WHERE interaction_id IS NOT NULL GROUP BY 1), p AS (SELECT DISTINCT vendor, regexp_extract(file_id, '_P([A-Za-z0-9]+)$', 1) AS participant_id FROM clips_accepted),
+s AS (SELECT DISTINCT vendor, lpad(CAST(CAST(session_id AS BIGINT) AS VARCHAR), 4, '0') AS session_id FROM clips_accepted WHERE session_id IS NOT NULL)
+SELECT v.file_id, i.seen_type, i.interaction_id IS NOT NULL AS interaction_join, p.vendor IS NOT NULL AS participant_metadata_present, s.vendor IS NOT NULL AS relationship_metadata_present
+FROM inventory v LEFT JOIN i USING (interaction_id) LEFT JOIN p ON p.vendor = v.vendor AND p.participant_id = v.participant_id LEFT JOIN s ON s.vendor = v.vendor AND s.session_id = v.session_id""",
+    "item_clips": f"""WITH {_FIRST}, r AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY CASE WHEN isfinite(clip_score) THEN clip_score END DESC NULLS LAST, clip_id) AS r FROM c WHERE start_frame IS NOT NULL AND file_id IS NOT NULL)
+SELECT file_id, string_agg(clip_id, ';' ORDER BY start_frame, clip_id) AS clips FROM r WHERE r <= 8 GROUP BY 1""",
+    "seeded_slices": "WITH r AS (SELECT file_id, row_number() OVER (ORDER BY sha256('elm' || chr(31) || file_id), file_id) AS r FROM inventory) SELECT file_id, CASE WHEN r <= 40 THEN 0 ELSE 1 END AS slice FROM r WHERE r <= 65",
+    "shard_digests": "SELECT CAST('0x' || substr(sha256(file_id), 1, 8) AS BIGINT) % 16 AS shard, sha256(string_agg(file_id, chr(31) ORDER BY file_id)) AS digest FROM inventory GROUP BY 1",
+    "stale_shards": """WITH h AS (SELECT file_id, CAST('0x' || substr(sha256(file_id), 1, 8) AS BIGINT) % 64 AS shard, CAST('0x' || substr(sha256(file_id), 1, 15) AS BIGINT) AS m, file_id IN (SELECT file_id FROM clips_accepted) AS done FROM inventory)
+SELECT shard, count(*) AS n, CAST(sum(m) AS VARCHAR) AS membership FROM h GROUP BY shard HAVING NOT bool_and(done)""",
+    "slice_statuses": f"""WITH {_FIRST}, f AS (SELECT DISTINCT file_id, frame FROM frame_tracks), n AS (SELECT clip_id, count(*) AS n FROM c JOIN f ON c.file_id = f.file_id AND frame >= start_frame AND frame < end_frame GROUP BY 1)
+SELECT clip_id, CAST(end_frame AS BIGINT) - start_frame AS n_promised, coalesce(n, 0) AS n_found, CASE WHEN file_id NOT IN (SELECT file_id FROM f) THEN 'unreadable' WHEN coalesce(n, 0) IS DISTINCT FROM end_frame - start_frame THEN 'length:' || coalesce(n, 0) ELSE 'ok' END AS status
+FROM c LEFT JOIN n USING (clip_id)""",
     "shard_membership": "WITH h AS (SELECT file_id, CAST('0x' || substr(sha256(file_id), 1, 8) AS BIGINT) % 16 AS shard FROM inventory) SELECT shard, count(*) AS n, CAST(sum(CAST('0x' || substr(sha256(file_id), 1, 15) AS BIGINT)) AS VARCHAR) AS membership FROM h GROUP BY shard",
     "pending_files": "SELECT file_id FROM inventory WHERE file_id NOT IN (SELECT file_id FROM clips_accepted)",
     "last_write_wins": f"WITH {_LAST}, h AS (SELECT review_item_id, count(DISTINCT reviewer) AS n, count(*) AS revisions, count(DISTINCT verdict) > 1 AS contested FROM verdicts GROUP BY 1) SELECT review_item_id, verdict, reviewer, log_line, CAST(n AS INTEGER) AS n_reviewers, revisions, contested FROM v JOIN h USING (review_item_id) WHERE r = 1",
     "verdict_counts_zero_filled": "SELECT x.v AS verdict, count(verdicts.log_line) AS n FROM (VALUES ('accept'), ('reject'), ('unsure'), ('deferred')) x(v) LEFT JOIN verdicts ON lower(trim(verdict)) = x.v GROUP BY 1",
     "reason_histogram": "SELECT reason, count(*) AS n FROM (SELECT unnest(CASE WHEN coalesce(len(reasons), 0) > 0 THEN reasons ELSE ['unspecified'] END) AS reason FROM verdicts WHERE lower(trim(verdict)) = 'reject') GROUP BY 1",
-    "binding_check": "WITH c AS (SELECT review_item_id, min(file_id) AS expected FROM clips_accepted GROUP BY 1) SELECT v.review_item_id, v.file_id, expected FROM verdicts v JOIN c USING (review_item_id) WHERE v.file_id <> '' AND v.file_id <> expected",
+    "binding_check": "SELECT DISTINCT c.file_id, c.participant_id, i.participant_id AS expected FROM clips_accepted c JOIN (SELECT file_id, min(participant_id) AS participant_id FROM inventory GROUP BY 1) i USING (file_id) WHERE c.participant_id <> '' AND c.participant_id <> i.participant_id",
     "truth_values": "SELECT log_line, coalesce(lower(trim(saw_video)) IN ('1', 'true', 'yes', 'y', 't'), false) AS saw_video FROM verdicts",
     "parsed_times": "SELECT log_line, CAST(epoch(try_cast(recorded_utc AS TIMESTAMPTZ)) AS BIGINT) AS epoch_s FROM verdicts",
     "duplicate_exports": "SELECT clip_id, count(*) AS n FROM clips_accepted GROUP BY 1 HAVING count(*) > 1",

@@ -60,6 +60,13 @@ def crop_box(spark, d):
     return b.select("label", *[F.round(c, 6).alias(c) for c in ("x0", "y0", "x1", "y1")])
 
 
+def fitted_crop(spark, d):
+    """The padded box cut to a square of whole even pixels inside a raster of 900 by 1000."""
+    b = g.crop_box(_vectors(spark, d), "label", "pts", [range(0, 5), range(5, 21)])
+    fit = g.fitted_box([F.col(c) for c in ("x0", "y0", "x1", "y1")], F.lit(900), F.lit(1000))
+    return b.select("label", fit.alias("f")).select("label", "f.*")
+
+
 def raster_repair(spark, d):
     p = F.get("pts", F.lit(0))
     q = F.get("pts", F.lit(1))
@@ -91,7 +98,7 @@ def ragged_arrays(spark, d):
     return g.ragged(v, ["vec_id"], ["pts", "good"]).select("vec_id", F.get("lengths", F.lit(1)).alias("n_usable"))
 
 
-QUERIES = {f.__name__: f for f in (fk_torso, quaternion_speed, wrist_track_speed, hand_track, hand_step_cosine, body_roll, crop_box, raster_repair, camera_joints, annotation_timebase, padded_slices, ragged_arrays)}
+QUERIES = {f.__name__: f for f in (fk_torso, quaternion_speed, wrist_track_speed, hand_track, hand_step_cosine, body_roll, crop_box, fitted_crop, raster_repair, camera_joints, annotation_timebase, padded_slices, ragged_arrays)}
 
 
 def _e(k: int) -> str:
@@ -147,3 +154,6 @@ SELECT file_id, round(CASE WHEN fps > 0 THEN (n - round_even(s * fps, 0)) / fps
     "padded_slices": f"SELECT vec_id, round({_e(60)} + {_e(61)} + {_e(62)} + {_e(63)}, 6) AS total, 8 AS n FROM embeddings",
     "ragged_arrays": f"WITH {_POINTS}, n AS (SELECT vec_id, count(*) FILTER (WHERE c > 0.01 AND (x <> 0 OR y <> 0)) AS m FROM p GROUP BY 1) SELECT vec_id, CAST(m AS INTEGER) AS n_usable FROM n WHERE m <> 21",
 }
+SQL["fitted_crop"] = f"""WITH b0 AS ({SQL["crop_box"]}), b AS (SELECT *, greatest(x1 - x0, y1 - y0) AS wide FROM b0), s AS (SELECT *, least(wide, 900) AS side FROM b),
+p AS (SELECT *, CAST(floor(least(greatest(0, (x0 + x1 - wide) / 2), 900 - side) / 2) * 2 AS INTEGER) AS l, CAST(floor(least(greatest(0, (y0 + y1 - wide) / 2), 1000 - side) / 2) * 2 AS INTEGER) AS t, greatest(32, CAST(floor(side / 2) * 2 AS INTEGER)) AS w FROM s)
+SELECT label, l AS x0, t AS y0, l + least(w, 900 - l) AS x1, t + least(w, 1000 - t) AS y1 FROM p"""

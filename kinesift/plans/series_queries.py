@@ -180,6 +180,13 @@ def asof_hold(spark, d):
     return series.asof_join(views, buys, "user_id", "t", "value", "held", 86_400_000_000).select("event_id", "held")
 
 
+def frames_on_screen(spark, d):
+    """Views of users against their purchases: the value held at each, up to two views after a user's last purchase."""
+    e = table(spark, d, "events").select("event_id", "user_id", "event_type", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
+    views, buys = e.filter("event_type = 'view'").select("event_id", "user_id", "t"), e.filter("event_type = 'purchase'").select("user_id", "t", "value")
+    return series.on_screen(views, buys, "user_id", "t", "value", "held", 86_400_000_000).select("event_id", "held", "status")
+
+
 def even_span_picks(spark, d):
     """12 frames spread over the speech stretches of each file."""
     spans = runs_islands(spark, d)
@@ -209,7 +216,7 @@ def file_rollups(spark, d):
     return g
 
 
-QUERIES = {f.__name__: f for f in (runs_islands, close_open_mask, closed_mask_frames, hann_smooth, central_speed, rolling_travel, step_cosine, frozen_frames, forward_fill, sliding_windows, window_measures, episodes_in_speech, segments_covered, longest_invalid_run, excursion_range, posture_spread, sync_xcorr, window_gates, speech_mask_intervals, interval_overlap_seconds, asof_hold, even_span_picks, end_to_end_picks, timeline_downsample, signal_envelope, file_rollups)}
+QUERIES = {f.__name__: f for f in (runs_islands, close_open_mask, closed_mask_frames, hann_smooth, central_speed, rolling_travel, step_cosine, frozen_frames, forward_fill, sliding_windows, window_measures, episodes_in_speech, segments_covered, longest_invalid_run, excursion_range, posture_spread, sync_xcorr, window_gates, speech_mask_intervals, interval_overlap_seconds, asof_hold, frames_on_screen, even_span_picks, end_to_end_picks, timeline_downsample, signal_envelope, file_rollups)}
 
 _T = """
 t AS (
@@ -328,6 +335,10 @@ SELECT clip_id, count(frame) AS speech_frames FROM (SELECT DISTINCT clip_id FROM
   round(coalesce(sum(least(end_s, 10) - greatest(start_s, 2)) FILTER (WHERE isfinite(start_s) AND isfinite(end_s) AND end_s > start_s AND end_s > 2 AND start_s < 10), 0), 6) AS seconds FROM clip_speech GROUP BY clip_id""",
     "asof_hold": """WITH b AS (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'purchase' GROUP BY ALL), f AS (SELECT user_id, arg_min(value, ts) AS value FROM b GROUP BY user_id)
 SELECT v.event_id, coalesce(b.value, f.value) AS held FROM (SELECT * FROM events WHERE event_type = 'view') v ASOF LEFT JOIN b ON v.user_id = b.user_id AND v.ts >= b.ts LEFT JOIN f ON v.user_id = f.user_id""",
+    "frames_on_screen": """WITH b AS (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'purchase' GROUP BY ALL), f AS (SELECT user_id, arg_min(value, ts) AS value, max(ts) AS last FROM b GROUP BY user_id),
+x AS (SELECT v.event_id, coalesce(b.value, f.value) AS held, f.last IS NULL OR (v.ts > f.last AND count(*) FILTER (WHERE v.ts > f.last) OVER (PARTITION BY v.user_id) > 2) AS bad
+  FROM (SELECT * FROM events WHERE event_type = 'view') v ASOF LEFT JOIN b ON v.user_id = b.user_id AND v.ts >= b.ts LEFT JOIN f ON v.user_id = f.user_id)
+SELECT event_id, CASE WHEN NOT bad THEN held END AS held, CASE WHEN bad THEN 'stopped' ELSE 'ok' END AS status FROM x""",
     "even_span_picks": f"""WITH {_T}, {_SPEECH_RUNS}, c AS (SELECT *, stop - start AS n, sum(stop - start) OVER (PARTITION BY file_id ORDER BY start) AS upto, sum(stop - start) OVER (PARTITION BY file_id) AS total FROM runs),
 p AS (SELECT file_id, unnest(range(0, 12)) AS i, total FROM (SELECT DISTINCT file_id, total FROM c))
 SELECT p.file_id, CAST(p.i AS INTEGER) AS pick, CAST(floor(c.start + (p.i + 0.5e0) / 12 * p.total - (c.upto - c.n)) AS BIGINT) AS position FROM p JOIN c ON p.file_id = c.file_id AND (p.i + 0.5e0) * c.total < 12 * c.upto AND (p.i + 0.5e0) * c.total >= 12 * (c.upto - c.n)""",

@@ -52,7 +52,10 @@ def test_manifest_keeps_leading_zeros(spark, tmp_path):
     sinks.write_csv(df, f"{tmp_path}/m", ["file_id", "start_frame"], one_file=True)
     assert tables.read_manifest(spark, f"{tmp_path}/m").collect() == df.collect()
     sinks.write_csv(df.limit(0), f"{tmp_path}/e")
-    assert tables.read_manifest(spark, f"{tmp_path}/e").count() == 0 if (tmp_path / "e").exists() and any(tmp_path.glob("e/*.csv")) else True
+    assert list((tmp_path / "e").glob("*.csv")) or not (tmp_path / "e" / "_SUCCESS").stat().st_size
+    head = ",".join(df.columns)
+    (tmp_path / "empty.csv").write_text(head + "\n")
+    assert tables.read_manifest(spark, f"{tmp_path}/empty.csv").count() == 0
 
 
 def test_shards_refuse_gaps(spark, tmp_path):
