@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .confusables import FOLDED, fold
 
@@ -35,9 +36,6 @@ LEAST_PAIRS, PHRASE_PAIRS = LEAST_POINTS - 1, LEAST_PHRASE - 2
 #: Items of one automaton; more of them are searched in blocks.
 ITEMS_AT_ONCE = 20_000
 
-_OUT = pa.schema([("doc_key", pa.int64()), ("item_key", pa.int64()), ("n_words", pa.int32()), ("start_char", pa.int32()), ("end_char", pa.int32())])
-_DDL = "doc_key bigint, item_key bigint, n_words int, start_char int, end_char int"
-
 
 class _Best:
     """Largest value put at or before a place (from 1 on): a Fenwick tree of maxima that grows as it is filled."""
@@ -69,10 +67,11 @@ class Passages:
     """Seeds of the items: an automaton over every two words side by side, written without spaces and marks, and every two
     words with one between them."""
 
-    def __init__(self, items: list[tuple[int, str]], least: int = LEAST_WORDS) -> None:
-        self.words = {i: w for i, t in items if len(w := fold(t).split()) >= least}
-        self.ids = list(self.words)
-        self.lists = list(self.words.values())
+    def __init__(self, items: list[tuple[object, str]], least: int = LEAST_WORDS) -> None:
+        kept = {(i, tuple(w)) for i, t in items if len(w := fold(t).split()) >= least}  # an id may have several texts
+        self.ids = [i for i, _ in kept]
+        self.lists = [list(w) for _, w in kept]
+        self.least = least
         self.width = max(map(len, self.lists), default=1)
         side: dict[str, list[tuple[int, int]]] = {}
         apart: dict[tuple[str, str], list[tuple[int, int]]] = {}
@@ -122,6 +121,8 @@ class Passages:
         edges = {*doc_at, len(compact)}
         out = {}
         for i, atoms in found.items():
+            if len({p for _, p in atoms}) < self.least:  # a chain takes each item word once
+                continue
             w, mine, open_ = self.lists[i], [], {}
             for start, p in sorted(atoms):
                 run = open_.pop((start, p), None)
@@ -134,10 +135,10 @@ class Passages:
 
     def align(self, runs: list[list[int]], index: dict[int, int]) -> tuple[int, int, int]:
         """Most words found in order by a chain of runs that a passage has: ``(words, doc from, doc to)`` in compact characters."""
-        points = _stretches(runs, index, 1)
         telling = [p >= LEAST_POINTS or b - a >= LEAST_PHRASE for p, (_, _, a, b) in zip(_stretches(runs, index, ROW), runs, strict=True)]
         if not any(telling):
             return 0, 0, 0
+        points = _stretches(runs, index, 1)
         # most words of a chain up to a run, and where it starts: of any chain, and of one with a telling run
         plain: list[tuple[int, int]] = []
         sound: list[tuple[int, int] | None] = []
@@ -220,7 +221,7 @@ def _stretches(runs: list[list[int]], index: dict[int, int], row: int) -> list[i
     return [u + o - n for u, o, n in zip(upto, onward, size, strict=True)]
 
 
-def passages_in(text: str, p: Passages, least: int = LEAST_WORDS) -> list[tuple[int, int, int, int]]:
+def passages_in(text: str, p: Passages, least: int = LEAST_WORDS) -> list[tuple[object, int, int, int]]:
     """``(item, words, from, to)`` of the items whose passage the text holds, offsets in the text as it is."""
     doc_words = fold(text).split()
     compact = "".join(doc_words)
@@ -252,37 +253,37 @@ def leaked_passages(docs: DataFrame, doc: str, text: str, items: DataFrame, item
     A text that keeps no phrase of eight words and changes more than that can't be told from another sentence of the same
     template, and isn't found.
 
-    Items are a stated set (300 here). They are read in blocks of ITEMS_AT_ONCE by id, each with its own automaton, so
-    what a task holds is bounded; every document is scanned whole, none is left out.
+    Items are a stated set (300 here). They are read in blocks of ITEMS_AT_ONCE by the hash of their id, each with its own
+    automaton and its own scan of the documents, so what a task holds is bounded; every document is scanned whole, none is
+    left out. The items are counted and brought to the driver, which sends them to the tasks, while the result is being put
+    together.
 
-    Returns ``doc_id, item_id BIGINT, n_words, start_char, end_char INT`` (code points of the text as it is).
-    NULL texts or ids give nothing; empty texts and items shorter than ``least`` words match nothing; repeated ids and
-    repeated rows give one row a pair; empty tables give an empty result; other columns are ignored.
+    Returns ``doc_id, item_id`` in the types they have, ``n_words, start_char, end_char INT`` (code points of the text as it
+    is). NULL texts or ids give nothing; empty texts and items shorter than ``least`` words match nothing; several texts of one
+    id count for it together; repeated ids and repeated rows give one row a pair; empty tables give an empty result; other
+    columns are ignored.
     """
-    held = items.select(F.col(item).cast("bigint").alias("i"), F.col(item_text).alias("t")).dropna()
-    n = held.count()
-    bounds = [None, None] if n <= ITEMS_AT_ONCE else [None, *held.approxQuantile("i", [k / -(-n // ITEMS_AT_ONCE) for k in range(1, -(-n // ITEMS_AT_ONCE))], 0.001), None]
-    rows = docs.select(F.col(doc).cast("bigint").alias("d"), F.col(text).alias("t")).dropna()
+    held = items.select(F.col(item).alias("i"), F.col(item_text).alias("t")).dropna().distinct()
+    blocks = max(1, -(-held.count() // ITEMS_AT_ONCE))
+    rows = docs.select(F.col(doc).alias("d"), F.col(text).alias("t")).dropna()
+    doc_type, item_type = rows.schema["d"].dataType, held.schema["i"].dataType
+    ddl = f"doc_id {doc_type.simpleString()}, item_id {item_type.simpleString()}, n_words int, start_char int, end_char int"
     out = None
-    for lo, hi in zip(bounds, bounds[1:], strict=False):
-        part = held
-        if lo is not None:
-            part = part.filter(F.col("i") > lo)
-        if hi is not None:
-            part = part.filter(F.col("i") <= hi)
-        block = [(r.i, r.t) for r in part.distinct().collect()]
-        found = rows.mapInArrow(_scanner(block, least), _DDL)
+    for k in range(blocks):
+        block = [(r.i, r.t) for r in held.filter(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k).collect()]
+        found = rows.mapInArrow(_scanner(block, least, to_arrow_type(item_type)), ddl)
         out = found if out is None else out.unionByName(found)
-    best = out.groupBy("doc_key", "item_key").agg(F.max_by(F.struct("n_words", "start_char", "end_char"), "n_words").alias("x"))
-    return best.select(F.col("doc_key").alias("doc_id"), F.col("item_key").alias("item_id"), "x.n_words", "x.start_char", "x.end_char")
+    best = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_words", (-F.col("start_char")).alias("back"), "end_char")).alias("x"))
+    return best.select("doc_id", "item_id", "x.n_words", (-F.col("x.back")).alias("start_char"), "x.end_char")
 
 
-def _scanner(block: list[tuple[int, str]], least: int):
+def _scanner(block: list[tuple[object, str]], least: int, item_type: pa.DataType):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Passages(block, least)
         for b in it:
-            rows = [(d, *hit) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for hit in passages_in(t, p, least)]
+            rows = [(k, *hit) for k, t in enumerate(b.column(1).to_pylist()) for hit in passages_in(t, p, least)]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _OUT, strict=True)], schema=_OUT)
+                at, ids, *numbers = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(ids, item_type), *(pa.array(c, pa.int32()) for c in numbers)], names=["doc_id", "item_id", "n_words", "start_char", "end_char"])
 
     return run

@@ -144,3 +144,44 @@ def test_best_before_a_place_against_a_loop():
         assert tree.upto(x) == max((v for q, v in put if q <= x), default=None)
         put.append((rng.randrange(1, 300), (rng.randrange(50), rng.randrange(50))))
         tree.put(*put[-1])
+
+
+def altered(rng, w, n, changed, inserted):
+    """A stretch of an item with single words changed and put in, ``n`` of the item's words left."""
+    at = rng.randrange(0, len(w) - n - changed + 1)
+    part = w[at : at + n + changed]
+    places = sorted(rng.sample(range(1, len(part) - 1), changed))
+    while any(b - a < 3 for a, b in zip(places, places[1:], strict=False)):  # single words: two of the passage between them
+        places = sorted(rng.sample(range(1, len(part) - 1), changed))
+    out = [f"zz{rng.randrange(99)}" if i in places else x for i, x in enumerate(part)]
+    for _ in range(inserted):
+        out.insert(rng.randrange(1, len(out)), f"yy{rng.randrange(99)}")
+    return out
+
+
+def test_recall_over_generated_alterations():
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(4000)]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.choice((26, 40, 90))))) for k in range(40)]
+    p = leaks.Passages(items)
+    found = {"changed": [], "inserted": [], "both": [], "long": []}
+    for trial in range(400):
+        item, text = items[trial % 40]
+        w = text.split()
+        kind = list(found)[trial % 4]
+        changed, inserted = {"changed": (rng.randrange(1, 5), 0), "inserted": (0, rng.randrange(1, 4)), "both": (2, 3), "long": (rng.randrange(0, 3), 0)}[kind]
+        part = altered(rng, w, 16 if len(w) < 26 + changed else rng.randrange(16, 20), changed, inserted)
+        around = 20_000 if kind == "long" and trial < 40 else 60
+        doc = [rng.choice(vocabulary) for _ in range(around)]
+        at = rng.randrange(around)
+        found[kind].append(item in {h[0] for h in leaks.passages_in(" ".join([*doc[:at], *part, *doc[at:]]), p)})
+    assert all(sum(x) / len(x) >= 0.99 for x in found.values()), {k: sum(x) / len(x) for k, x in found.items()}
+
+
+def test_ids_of_any_type_and_several_texts_of_one_id(spark):
+    _, items = made(12)
+    d = spark.createDataFrame([(f"d{k}", "before " + items[k][1] + " after") for k in range(4)], "doc string, body string")
+    i = spark.createDataFrame([("x", items[0][1]), ("x", items[1][1]), ("y", items[2][1]), ("y", None), (None, items[3][1])], "name string, body string")
+    got = leaks.leaked_passages(d, "doc", "body", i, "name", "body")
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {("d0", "x"), ("d1", "x"), ("d2", "y")}
+    assert dict(got.dtypes)["item_id"] == "string"
