@@ -64,8 +64,9 @@ class _Best:
 
 
 class Passages:
-    """Seeds of the items: an automaton over every two words side by side, written without spaces and marks, and every two
-    words with one between them."""
+    """Seeds of the items: an automaton over every two words side by side, written without spaces and marks, and the pairs of
+    words that are next to each other, or have one between them, in the item: looked up with one word between them in the text,
+    that finds them around a word put in or changed."""
 
     def __init__(self, items: list[tuple[object, str]], least: int = LEAST_WORDS) -> None:
         kept = {(i, tuple(w)) for i, t in items if len(w := fold(t).split()) >= least}  # an id may have several texts
@@ -74,12 +75,13 @@ class Passages:
         self.least = least
         self.width = max(map(len, self.lists), default=1)
         side: dict[str, list[tuple[int, int]]] = {}
-        apart: dict[tuple[str, str], list[tuple[int, int]]] = {}
+        apart: dict[tuple[str, str], list[tuple[int, int, int]]] = {}
         for i, w in enumerate(self.lists):
             for p in range(len(w) - 1):
                 side.setdefault(w[p] + w[p + 1], []).append((i, p))
+                apart.setdefault((w[p], w[p + 1]), []).append((i, p, 1))
             for p in range(len(w) - 2):
-                apart.setdefault((w[p], w[p + 2]), []).append((i, p))
+                apart.setdefault((w[p], w[p + 2]), []).append((i, p, 2))
         self.side, self.apart = list(side.values()), apart
         self.places = [np.array([i * self.width + p for i, p in at]) for at in self.side]
         self.ac = ahocorasick.Automaton()
@@ -114,10 +116,10 @@ class Passages:
                 found[i].add((start + len(self.lists[i][p]), p + 1))
         doc_at = _starts(doc_words)
         for at, two in enumerate(zip(doc_words, doc_words[2:], strict=False)):
-            for i, p in self.apart.get(two, ()):
+            for i, p, step in self.apart.get(two, ()):
                 if i in alive:
                     found[i].add((doc_at[at], p))
-                    found[i].add((doc_at[at + 2], p + 2))
+                    found[i].add((doc_at[at + 2], p + step))
         edges = {*doc_at, len(compact)}
         out = {}
         for i, atoms in found.items():
@@ -210,7 +212,7 @@ def _stretches(runs: list[list[int]], index: dict[int, int], row: int) -> list[i
     for k, run in enumerate(runs):
         for e in range(run[2] - row, run[2] + 1):
             for j in ends.get(e, ()):
-                if runs[j][1] <= run[0] and (gap := _between(runs[j], run, index)) <= (row if e < run[2] else NEAR):
+                if runs[j][1] <= run[0] and (gap := _between(runs[j], run, index)) <= (row + 1 if e < run[2] else NEAR):
                     links.append((j, k, gap if e < run[2] else min(gap, INSERTION)))
         ends.setdefault(run[3], []).append(k)
     upto, onward = list(size), list(size)
@@ -244,14 +246,14 @@ def leaked_passages(docs: DataFrame, doc: str, text: str, items: DataFrame, item
     """Every document and held-out item where the document holds ``least`` words of the item's passage in its order.
 
     Both sides are folded: look-alike letters, width and style forms, case, accents, punctuation, spacing and invisible
-    characters don't matter. Seeds are any two item words side by side (one automaton passes over each text once), and any two
-    with one word between. Exact runs are chained in order; the chain of most words must hold ``least`` of them, and a phrase
-    of LEAST_PHRASE words or a stretch over single changed words and marks put in of LEAST_POINTS points, which short phrases, however many,
-    don't have: 16 words with up to four of theirs changed are found, longer ones down to runs of two words. Stretches of
-    APART_POINTS points count at any distance, of ONWARD_POINTS where the item goes on without a gap; shorter ones within NEAR
-    words of another, if they have twice the points of what lies between.
-    A text that keeps no phrase of eight words and changes more than that can't be told from another sentence of the same
-    template, and isn't found.
+    characters don't matter. Seeds are any two item words side by side (one automaton passes over each text once), and those
+    around a single word that was changed or put in. Exact runs are chained in order; the chain of most words must hold
+    ``least`` of them, and a phrase of LEAST_PHRASE words or a stretch over single changed words and words put in of
+    LEAST_POINTS points, which short phrases, however many, don't have: 16 words with up to four changed or put in among them
+    are found, longer ones down to runs of two words. Stretches of APART_POINTS points count at any distance, of
+    ONWARD_POINTS where the item goes on without a gap; shorter ones within NEAR words of another, if they have twice the
+    points of what lies between. A text that keeps no phrase of eight words and changes more than that can't be told from
+    another sentence of the same template, and isn't found.
 
     Items are a stated set (300 here). They are read in blocks of ITEMS_AT_ONCE by the hash of their id, each with its own
     automaton and its own scan of the documents, so what a task holds is bounded; every document is scanned whole, none is
