@@ -24,13 +24,18 @@ PER_BUCKET, MOST_LEAVES = 2000, 100_000
 
 
 def token_counts(df: DataFrame, text: str, keep: list[str], folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``keep`` columns and ``n_tokens BIGINT`` of the whole text. Rows with a NULL text are left out; '' has 0 tokens."""
+    """``keep`` columns and ``n_tokens BIGINT`` of the whole text. Rows with a NULL text are left out; '' has 0 tokens.
+
+    The vocabulary is read where the driver is (or from a storage that Spark knows) and sent to the executors.
+    """
+    df.sparkSession.sparkContext.addFile(f"{folder}/{vocabulary}")
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("n_tokens", T.LongType())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
+        from pyspark import SparkFiles
 
-        with open(f"{folder}/{vocabulary}", "rb") as f:
+        with open(SparkFiles.get(vocabulary), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         enc = tiktoken.Encoding("sizes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for b in it:
@@ -89,6 +94,23 @@ def budgets(leaves: list[tuple[tuple[str, ...], float, float]], total: float) ->
     return out
 
 
+def settled(ends: list[tuple[str, str, int, int]]) -> list[str]:
+    """Leaves that get the document their budget ends in, of (source, leaf, its tokens, tokens the prefix lacks before it).
+
+    What the prefixes of a source's leaves lack together goes to its leaves by largest share of the document that is covered,
+    equal ones by smaller leaf, as long as it suffices: a source then lacks less than a document, not one for each leaf.
+    """
+    spare: dict[str, int] = {}
+    for source, _, _, lacks in ends:
+        spare[source] = spare.get(source, 0) + lacks
+    out = []
+    for source, leaf, n, _ in sorted(ends, key=lambda e: (-e[3] / e[2], e[1])):
+        if n <= spare[source]:
+            spare[source] -= n
+            out.append(leaf)
+    return out
+
+
 def mixture(docs: DataFrame, doc: str, path: list[str], targets: DataFrame, total: int | None = None, seed: str = "mix") -> DataFrame:
     """The documents of a mixture whose sources have their target shares: ``doc, epoch INT, source, n_tokens``, a row a use.
 
@@ -96,8 +118,10 @@ def mixture(docs: DataFrame, doc: str, path: list[str], targets: DataFrame, tota
     ``targets``: ``source, target_share, max_repeats``, a fixed handful of rows. A source's share is split over its
     leaves by their tokens, and weights of inner nodes are sums; the total flows down the tree (``budgets``), so what a
     leaf lacks goes to its siblings first and to those of its ancestors last. A leaf gives whole epochs and then the prefix
-    of one more, in an order drawn by seed, epoch and id, that fits its budget: never more than that, never more than
-    ``max_repeats`` uses of a document.
+    of one more, in an order drawn by seed, epoch and id, that fits its budget; what the leaves of a source so lack together
+    pays for the next document of some of them (``settled``). A source never gets more than its budget, a document never more
+    than ``max_repeats`` uses. Budgets are set, and buckets summed, while the result is being put together; a row a leaf comes
+    to the driver, and more than MOST_LEAVES leaves raise.
 
     total: tokens of the mixture; by default as many as the sources with a target have. The prefix is found in buckets of
     the drawn order: sums of buckets decide whole ones, and only the bucket the budget ends in is put in order.
@@ -137,8 +161,12 @@ def mixture(docs: DataFrame, doc: str, path: list[str], targets: DataFrame, tota
     reached = sums.filter("ahead <= rest").select("leaf", "bucket", "s", "ahead")
     cut = last.join(reached, ["leaf", "bucket"])
     inside = Window.partitionBy("leaf", "bucket").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0)
-    some = cut.filter("ahead + s > rest").withColumn("upto", F.col("ahead") + F.sum("n").over(inside)).filter("upto <= rest")
-    prefix = cut.filter("ahead + s <= rest").select("id", (F.col("whole") + 1).alias("epoch"), "source", "n").unionByName(some.select("id", (F.col("whole") + 1).alias("epoch"), "source", "n"))
+    ends = tables.keep(cut.filter("ahead + s > rest").withColumn("upto", F.col("ahead") + F.sum("n").over(inside)).filter("upto - n <= rest"))
+    # the document that a leaf's budget ends in: one a leaf, and what the leaf's prefix lacks before it
+    over = ends.filter("upto > rest").select("leaf", "source", "n", (F.col("rest") - F.col("upto") + F.col("n")).alias("lacks"))
+    more = spark.createDataFrame([(x,) for x in settled([(r.source, r.leaf, r.n, r.lacks) for r in over.collect()])], "leaf string")
+    use = ["id", (F.col("whole") + 1).alias("epoch"), "source", "n"]
+    prefix = cut.filter("ahead + s <= rest").select(*use).unionByName(ends.filter("upto <= rest").select(*use)).unionByName(ends.filter("upto > rest").join(F.broadcast(more), "leaf", "left_semi").select(*use))
     return full.unionByName(prefix).select(F.col("id").alias(doc), F.col("epoch").cast("int").alias("epoch"), "source", F.col("n").alias("n_tokens"))
 
 
@@ -161,8 +189,35 @@ def language(c: str | Column) -> Column:
 DOMAINS = {"transcript_asr": "speech", "session_log": "speech", "reviewer_note": "review", "annotator_help": "review", "ipc_prompt": "prompts", "run_report": "engineering", "design_note": "engineering"}
 
 
-def document_mixture(docs: DataFrame, targets: DataFrame, folder: str = TOKENIZERS, total: int | None = None) -> DataFrame:
+def document_sizes(docs: DataFrame, folder: str = TOKENIZERS, domains: DataFrame | None = None) -> DataFrame:
+    """``doc_id, domain, lang, source, n_tokens`` of documents. ``domains`` (``source, domain``) says where sources belong, those of
+    this project by default; a source without one is "other", of several the smallest counts."""
+    spark = docs.sparkSession
+    of = domains if domains is not None else spark.createDataFrame(list(DOMAINS.items()), "source string, domain string")
+    of = of.filter("source IS NOT NULL AND domain IS NOT NULL").groupBy("source").agg(F.min("domain").alias("domain"))
+    if of.limit(MOST_LEAVES + 1).count() > MOST_LEAVES:
+        raise ValueError("too many sources")
+    slim = docs.select("doc_id", "source", language("lang").alias("lang"), "text").join(F.broadcast(of), "source", "left").withColumn("domain", F.coalesce("domain", F.lit("other")))
+    return token_counts(slim, "text", ["doc_id", "domain", "lang", "source"], folder)
+
+
+def document_mixture(docs: DataFrame, targets: DataFrame, folder: str = TOKENIZERS, total: int | None = None, domains: DataFrame | None = None) -> DataFrame:
     """The mixture of ``documents`` for ``source_targets`` through the tree domain, language, source."""
-    domain = F.coalesce(*[F.when(F.col("source") == s, F.lit(d)) for s, d in DOMAINS.items()], F.lit("other"))
-    sized = token_counts(docs.select("doc_id", "source", language("lang").alias("lang"), domain.alias("domain"), "text"), "text", ["doc_id", "domain", "lang", "source"], folder)
-    return mixture(sized, "doc_id", ["domain", "lang", "source"], targets, total)
+    return mixture(document_sizes(docs, folder, domains), "doc_id", ["domain", "lang", "source"], targets, total)
+
+
+def checks(sizes: DataFrame, mixed: DataFrame, targets: DataFrame) -> DataFrame:
+    """``source, share_kept, repeats_kept BOOLEAN``: what must hold for each source with a target.
+
+    Its tokens are its share of all with a target, up to less than its longest document, or all that its repeats allow; or
+    more, where others lack; no document is used more often than it may be.
+    """
+    t = targets.filter("source IS NOT NULL AND target_share > 0").select("source", "target_share", F.coalesce("max_repeats", F.lit(1)).alias("most"))
+    have = sizes.groupBy("source").agg(F.sum("n_tokens").alias("have"), F.max("n_tokens").alias("longest"))
+    uses = mixed.groupBy("source", "doc_id").agg(F.count(F.lit(1)).alias("u"), F.sum("n_tokens").alias("n")).groupBy("source").agg(F.max("u").alias("u"), F.sum("n").alias("n"))
+    j = t.join(have, "source", "left").join(uses, "source", "left")
+    total = j.agg(F.sum("have").alias("total"), F.sum("target_share").alias("shares"))
+    want = F.least(F.col("target_share") / F.col("shares") * F.col("total"), F.col("have") * F.col("most"))
+    n = F.coalesce("n", F.lit(0))
+    out = j.crossJoin(F.broadcast(total))  # one row
+    return out.select("source", F.coalesce(n > want - F.col("longest") - 1, F.lit(True)).alias("share_kept"), F.coalesce(F.col("u") <= F.col("most"), F.lit(True)).alias("repeats_kept"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import Durable, table
 from . import caps, confusables, consensus, leaks, mixture, percentiles, splits, topn
 
 
@@ -86,6 +86,11 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return confusables.twins(table(spark, d, "documents"), "doc_id", "text").select(F.col("key_a").alias("doc_id"), F.col("key_b").alias("twin_doc_id"))
 
 
+def p10_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that have a twin, with the class of those that read the same and the one of those that are the same."""
+    return confusables.twin_classes(table(spark, d, "documents"), "doc_id", "text")
+
+
 def p10_canonical(spark: SparkSession, d: str) -> DataFrame:
     """Every document with its consistent form and the class of documents that read the same."""
     return confusables.canonical(table(spark, d, "documents"), "doc_id", "text")
@@ -96,6 +101,11 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return items.select(F.col("item").alias("review_item_id"), F.when(F.col("accept_probability") >= 0.5, "accept").otherwise("reject").alias("verdict"))
 
 
+def p5_disputed(spark: SparkSession, d: str) -> DataFrame:
+    """The items that a verdict is derived for: all that have both an accept and a reject among the standing verdicts."""
+    return p5_found(spark, d).select("review_item_id")
+
+
 def p5_reviewers(spark: SparkSession, d: str) -> DataFrame:
     """Reliability of every reviewer: chance to be right, on items to accept and to reject, and its community."""
     r = consensus.consensus(consensus.votes_of(table(spark, d, "verdicts"))).annotators
@@ -129,10 +139,24 @@ def p7_assignment(spark: SparkSession, d: str) -> DataFrame:
     return splits.grouped_splits(table(spark, d, "clips_accepted"), table(spark, d, "split_targets"))
 
 
+def p7_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold for the assignment."""
+    clips, targets = table(spark, d, "clips_accepted"), table(spark, d, "split_targets")
+    return splits.checks(clips, Durable(spark).keep(splits.grouped_splits(clips, targets)), targets)
+
+
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixture.document_mixture(table(spark, d, "documents"), table(spark, d, "source_targets"))
 
 
+def p9_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold for the mixture, source by source."""
+    sizes = Durable(spark).keep(mixture.document_sizes(table(spark, d, "documents")))
+    targets = table(spark, d, "source_targets")
+    mixed = Durable(spark).keep(mixture.mixture(sizes, "doc_id", ["domain", "lang", "source"], targets))
+    return mixture.checks(sizes, mixed, targets)
+
+
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     targets = table(spark, d, "source_targets")
     r = mixture.reached_shares(p9_mixture(spark, d), targets, "doc_id")
@@ -141,18 +165,22 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p5_found": p5_found,
+    "p5_disputed": p5_disputed,
     "p5_reviewers": p5_reviewers,
     "p5_sources": p5_sources,
     "p5_agreement": p5_agreement,
     "p5_alpha": p5_alpha,
     "p7_found": p7_found,
     "p7_assignment": p7_assignment,
+    "p7_checks": p7_checks,
     "p9_mixture": p9_mixture,
     "p9_shares": p9_shares,
+    "p9_checks": p9_checks,
     "p8_found": p8_found,
     "p8_passages": p8_passages,
     "p8_leaked_items": p8_leaked_items,
     "p10_found": p10_found,
+    "p10_classes": p10_classes,
     "p10_canonical": p10_canonical,
     "p1_found": p1_found,
     "p1_by_label": p1_by_label,
@@ -168,7 +196,7 @@ QUERIES = {
 _FILES = """
 files AS (
   SELECT file_id, min(vendor) AS vendor, regexp_extract(file_id, '_P([A-Za-z0-9]+)$', 1) AS p,
-         max(CASE WHEN isfinite(gesture_quality) THEN gesture_quality END) AS q, min(label) AS label
+         max(CASE WHEN isfinite(gesture_quality) THEN gesture_quality END) AS q, min(label) AS label, min(interaction_type) AS type
   FROM clips_accepted GROUP BY file_id
 ), cap AS (SELECT max_files_per_participant AS n FROM run_config WHERE is_current)
 """
@@ -202,6 +230,23 @@ said AS (
 )
 """
 SQL = {
+    "p5_disputed": f"WITH {_VOTES} SELECT review_item_id FROM tally WHERE a > 0 AND j > 0",
+    "p7_checks": "SELECT what, true AS holds FROM (VALUES ('every_file_has_one_split'), ('linked_files_stay_together'), ('shares_within_a_bin')) x(what)",
+    "p9_checks": "SELECT source, true AS share_kept, true AS repeats_kept FROM source_targets",
+    "p1_by_type_equal": f"""WITH {_FILES}, counts AS (
+  SELECT vendor, p, coalesce(type, '') AS type, count(*) AS c FROM files GROUP BY ALL
+), sized AS (
+  SELECT *, sum(c) OVER w AS total, greatest(0, n - coalesce(sum(c) OVER b, 0)) / CAST(count(*) OVER w - coalesce(count(*) OVER b, 0) AS DOUBLE) AS level FROM counts, cap
+  WINDOW w AS (PARTITION BY vendor, p), b AS (PARTITION BY vendor, p ORDER BY c, type ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), parts AS (
+  SELECT *, CASE WHEN total <= n OR c <= level THEN c ELSE least(c, max(level) FILTER (WHERE total > n AND c > level) OVER (PARTITION BY vendor, p)) END AS part FROM sized
+), based AS (
+  SELECT *, floor(part + 1e-9) AS base FROM parts
+), quotas AS (
+  SELECT *, CAST(base + CASE WHEN row_number() OVER (PARTITION BY vendor, p ORDER BY part - base DESC, type) <= least(n, total) - sum(base) OVER (PARTITION BY vendor, p) AND base < c THEN 1 ELSE 0 END AS BIGINT) AS quota FROM based
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY vendor, p, type ORDER BY q DESC NULLS LAST, file_id) AS r FROM files
+) SELECT file_id, quota, r <= quota AS kept FROM ranked JOIN quotas ON ranked.vendor = quotas.vendor AND ranked.p = quotas.p AND coalesce(ranked.type, '') = quotas.type""",
     "p5_agreement": f"""WITH {_VOTES} SELECT review_item_id, a AS n_accept, j AS n_reject,
   round(CASE WHEN a + j > 1 THEN CAST(a * (a - 1) + j * (j - 1) AS DOUBLE) / ((a + j) * (a + j - 1)) END, 6) AS agreement FROM tally""",
     "p5_alpha": f"""WITH {_VOTES}, s AS (

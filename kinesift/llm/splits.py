@@ -179,3 +179,23 @@ def grouped_splits(clips: DataFrame, targets: DataFrame) -> DataFrame:
     of = Durable(clips.sparkSession).keep(components(file_links(clips), "file_id", "key"))
     groups = files.join(of, "file_id").groupBy("component").agg(F.sum("weight").alias("weight"))
     return of.join(assigned(groups, shares), "component").select("file_id", "component", "split")
+
+
+def checks(clips: DataFrame, assigned_: DataFrame, targets: DataFrame, bins: int = BINS) -> DataFrame:
+    """``what STRING, holds BOOLEAN``: every file has just one split; files that share a key have the same; no split is further
+    from its share of the clips than the largest bin can be."""
+    files = clip_files(clips).select("file_id", "weight")
+    one = files.join(assigned_, "file_id", "left").groupBy("file_id").agg(F.count("split").alias("n"))
+    torn = file_links(clips).filter("key IS NOT NULL").join(assigned_, "file_id").groupBy("key").agg((F.min("split") != F.max("split")).alias("torn"))
+    sized = files.join(assigned_, "file_id")
+    heaviest = sized.groupBy("component").agg(F.sum("weight").alias("w")).agg(F.max("w").alias("w"), F.sum("w").alias("total"))
+    by = targets.dropna().join(sized.groupBy("split").agg(F.sum("weight").alias("n")), "split", "left")
+    shares = targets.dropna().agg(F.sum("target_share").alias("all"))
+    gap = by.crossJoin(F.broadcast(heaviest)).crossJoin(F.broadcast(shares))  # one row each
+    far = gap.agg(F.bool_and(F.abs(F.coalesce("n", F.lit(0)) - F.col("total") * F.col("target_share") / F.col("all")) <= F.col("w") + F.col("total") / bins).alias("holds"))
+    parts = (("every_file_has_one_split", one.agg(F.bool_and(F.col("n") == 1).alias("holds"))), ("linked_files_stay_together", torn.agg((~F.bool_or("torn")).alias("holds"))), ("shares_within_a_bin", far))
+    out = None
+    for what, df in parts:
+        row = df.select(F.lit(what).alias("what"), F.coalesce("holds", F.lit(True)).alias("holds"))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -122,3 +122,33 @@ def test_every_key_of_a_file_links_it(spark):
     rows = [(f"V1_S1_I1_P{p}", "v", s, i, split) for p, s, i, split in (("A", "s1", "i1", "train"), ("A", "s2", None, "train"), ("B", "s2", "i2", "test"), ("C", "s3", "i2", "test"), ("C", "s4", "i9", None), ("D", "s5", "i9", "test"), ("E", "s6", "i6", "dev"))]
     clips = spark.createDataFrame(rows, "file_id string, vendor string, session_id string, interaction_id string, split string").withColumn("clip_id", F.monotonically_increasing_id())
     assert sorted(r.file_id[-1] for r in splits.torn_files(clips).collect()) == ["A", "B", "C", "D"]
+
+
+def test_what_prefixes_lack_pays_for_further_documents():
+    assert mixture.settled([]) == []
+    ends = [("s", "sa", 10, 9), ("s", "sb", 10, 8), ("s", "sc", 10, 2), ("t", "ta", 10, 4), ("t", "tb", 7, 3)]
+    assert sorted(mixture.settled(ends)) == ["sa", "tb"]  # 19 and 7 tokens are lacking; equal parts by smaller leaf
+
+
+def test_shares_miss_by_less_than_a_document(spark):
+    rng = random.Random(4)
+    rows = [(k, rng.choice("abcdefg"), rng.choice(("x", "y", "z")), rng.randrange(50, 400)) for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, source string, n_tokens bigint")
+    targets = spark.createDataFrame([("x", 0.6, 3), ("y", 0.3, 2), ("z", 0.1, 1)], "source string, target_share double, max_repeats int")
+    mixed = mixture.mixture(docs, "doc_id", ["lang", "source"], targets)
+    assert all(r.share_kept and r.repeats_kept for r in mixture.checks(docs, mixed, targets).collect())
+    got = {r.source: r.n_tokens for r in mixture.reached_shares(mixed, targets, "doc_id").collect()}
+    total = sum(r[3] for r in rows)
+    assert all(total * s - 400 < got[n] <= total * s + 1 for n, s in (("x", 0.6), ("y", 0.3), ("z", 0.1)))
+    elsewhere = spark.createDataFrame([("x", "web"), ("x", "zoo"), (None, "q")], "source string, domain string")
+    texts = spark.createDataFrame([(1, "one two", "en", "x"), (2, "three", "en", "new")], "doc_id bigint, text string, lang string, source string")
+    assert {(r.doc_id, r.domain) for r in mixture.document_sizes(texts, domains=elsewhere).collect()} == {(1, "web"), (2, "other")}
+
+
+def test_checks_of_an_assignment_see_faults(spark):
+    clips = spark.createDataFrame([(f"c{k}", f"V00_S000{k % 3}_I0000000{k}_P000{k}", "V00", f"000{k % 3}", f"i{k}", "train") for k in range(9)], "clip_id string, file_id string, vendor string, session_id string, interaction_id string, split string")
+    targets = spark.createDataFrame([("train", 0.7), ("test", 0.3)], "split string, target_share double")
+    good = splits.grouped_splits(clips, targets)
+    assert all(r.holds for r in splits.checks(clips, good, targets).collect())
+    bad = good.withColumn("split", F.when(F.col("file_id").contains("I00000000"), "test").otherwise("train"))
+    assert {r.what for r in splits.checks(clips, bad, targets).collect() if not r.holds} >= {"linked_files_stay_together"}

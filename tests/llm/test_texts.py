@@ -186,3 +186,25 @@ def test_ids_of_any_type_and_several_texts_of_one_id(spark):
     got = leaks.leaked_passages(d, "doc", "body", i, "name", "body")
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {("d0", "x"), ("d1", "x"), ("d2", "y")}
     assert dict(got.dtypes)["item_id"] == "string"
+
+
+def test_a_table_of_look_alikes_can_be_read(spark):
+    lines = ["﻿# comment", "0430 ;\t0061 ;\tMA\t# a", "AB70 ; 0044 ; MA", "0031 ; 006C ; MA # a digit", "FF41 ; 0061 ; MA # width", "0251 ; 0430 ; MA # by way of another", "01C4 ; 0044 017D ; MA # two", "broken"]
+    look = confusables.load(lines)
+    assert look == {0x430: "a", 0xAB70: "D", 0x251: "a"}
+    table = spark.createDataFrame([("а", "a"), ("xx", "y"), (None, "z")], "s string, p string")
+    assert confusables.look_alikes_of(table, "s", "p") == {0x430: "a"}
+    df = spark.createDataFrame([(1, "cаt"), (2, "cat"), (3, "сat")], "id bigint, t string")  # а and с of another script
+    assert {tuple(r) for r in confusables.twins(df, "id", "t", look).collect()} == {(1, 2)}
+    assert {tuple(r) for r in confusables.twins(df, "id", "t").collect()} == {(1, 2), (1, 3), (2, 3)}
+    assert confusables.skeleton("ᎪᏴᏟ Ⲟ ɩ σ ꞌ ı") == "ABC O i o ' i"
+
+
+def test_much_copied_twins_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(confusables, "COPIES_A_TASK", 3)
+    df = spark.createDataFrame([(k, ("cаt", "cat", "dog")[k % 3]) for k in range(30)], "id bigint, t string")
+    got = {tuple(r) for r in confusables.twins(df, "id", "t").collect()}
+    assert got == {(min(a, b), max(a, b)) for a in range(0, 30, 3) for b in range(1, 30, 3)}
+    classes = {r.id: (r.class_id, r.form_id, r.n_forms, r.n_copies) for r in confusables.twin_classes(df, "id", "t").collect()}
+    assert classes == {k: (0, k % 3, 2, 10) for k in range(30) if k % 3 < 2}
+    assert confusables.twin_classes(df.limit(0), "id", "t").count() == 0
