@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import col, measured
+from ..operators.selection import global_rank
 from ..session import Durable
 
 #: Up to this cap the ranking keeps the best rows of every task before it shuffles (Spark's window group limit).
 SMALL_CAP = 1000
 #: Levels of quality that a stratum is counted in where the cap is larger.
 LEVELS = 1 << 14
+#: Up to so many strata quotas are sent to every task; more are joined with each key dealt out over SALTS parts.
+MOST_STRATA, SALTS = 500_000, 32
 
 
 def stratum_quotas(counts: DataFrame, cap: int, by: str = "proportional") -> DataFrame:
@@ -44,19 +47,30 @@ def stratum_quotas(counts: DataFrame, cap: int, by: str = "proportional") -> Dat
 
 def _rank_large(rows: DataFrame, quotas: DataFrame) -> DataFrame:
     """Rows within their quota where quotas are large: levels of quality are counted first, whole levels above the cut are
-    kept without ranking, and only the one level that the cut falls into is ranked, spread by contributor and stratum.
+    kept without ranking, and only the one level that the cut falls into is ranked: all those levels in one total order, cut
+    into ranges of rows, so that a level of any size, one of equal qualities too, is spread over tasks.
     """
     span = rows.groupBy("c", "s").agg(F.min("q").alias("lo"), F.max("q").alias("hi"))
     level = F.when(F.col("q").isNull(), -1).otherwise(F.when(F.col("hi") > F.col("lo"), F.floor((F.col("q") - F.col("lo")) / (F.col("hi") - F.col("lo")) * (LEVELS - 1))).otherwise(0))
     leveled = rows.join(span, ["c", "s"]).withColumn("lv", level.cast("int"))
     above = Window.partitionBy("c", "s").orderBy(F.desc("lv")).rowsBetween(Window.unboundedPreceding, -1)
     counts = leveled.groupBy("c", "s", "lv").agg(F.count(F.lit(1)).alias("m")).withColumn("ahead", F.coalesce(F.sum("m").over(above), F.lit(0)))
-    cut = counts.join(quotas.select("c", "s", "quota"), ["c", "s"]).filter(F.col("ahead") < F.col("quota")).withColumn("open", F.least("m", F.col("quota") - F.col("ahead")))
+    cut = counts.join(quotas, ["c", "s"]).filter(F.col("ahead") < F.col("quota")).withColumn("open", F.least("m", F.col("quota") - F.col("ahead")))
     took = leveled.join(cut, ["c", "s", "lv"])
-    exact = took.filter("open < m").withColumn("r", F.row_number().over(Window.partitionBy("c", "s", "lv").orderBy(F.desc_nulls_last("q"), "id"))).filter("r <= open")
+    placed = global_rank(took.filter("open < m"), [F.col("c"), F.col("s"), F.col("lv"), F.desc_nulls_last("q"), F.col("id")], "at")
+    first = placed.groupBy("c", "s", "lv").agg(F.min("at").alias("first"))
+    exact = placed.join(first, ["c", "s", "lv"]).filter("at - first < open")
     return took.filter("open = m").select("id", "c", "s", "quota").unionByName(exact.select("id", "c", "s", "quota"))
 
 
+def _with_quotas(rows: DataFrame, quotas: DataFrame, few: bool) -> DataFrame:
+    """Rows with the quota of their stratum; the rows of a stratum, which may be most of all, are never brought together."""
+    if few:
+        return rows.join(F.broadcast(quotas), ["c", "s"])
+    dealt = quotas.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.hash("id"), F.lit(SALTS))).join(dealt, ["c", "s", "salt"]).drop("salt")
+
+
 def key_of(columns: list[str | Column]) -> Column:
     """One string for several columns; NULL is a value of its own."""
     return F.to_json(F.array(*[F.coalesce(col(x).cast("string"), F.lit("\0")) for x in columns])) if columns else F.lit("")
@@ -70,7 +84,9 @@ def stratified_cap(records: DataFrame, contributor: list[str | Column], record:
 
     ``record`` is the unique id of a row. Returns the id, ``contributor_key``, ``stratum_key``, ``quota`` and ``kept``, one
     row a record. NULL parts of a contributor or stratum form a key of their own; rows without an id are left out; repeated
-    ids count once, with their highest quality. A cap of 0 keeps nothing. An empty table gives an empty result.
+    ids count once, with their highest quality. A cap of 0 keeps nothing. An empty table gives an empty result. Caps up to
+    SMALL_CAP and larger ones are ranked by other plans with the same rows. Records are written, and strata counted, while the
+    result is being put together.
     """
     if (cap is None) == (share is None):
         raise ValueError("give either cap or share")
@@ -80,15 +96,17 @@ def stratified_cap(records: DataFrame, contributor: list[str | Column], record:
         .groupBy("id")
         .agg(F.min("c").alias("c"), F.min("s").alias("s"), F.max("q").alias("q"))
     )
-    rows = Durable(records.sparkSession).keep(rows)  # counted, ranked and joined below, but made once
+    tables = Durable(records.sparkSession)
+    rows = tables.keep(rows)  # counted, ranked and joined below, but made once
     if cap is None:
         cap = int(rows.count() * share)
-    quotas = stratum_quotas(rows.groupBy("c", "s").agg(F.count(F.lit(1)).alias("n")), cap, by)
+    quotas = tables.keep(stratum_quotas(rows.groupBy("c", "s").agg(F.count(F.lit(1)).alias("n")), cap, by).select("c", "s", "quota"))
+    few = quotas.limit(MOST_STRATA + 1).count() <= MOST_STRATA
     if cap <= SMALL_CAP:
         best = Window.partitionBy("c", "s").orderBy(F.desc_nulls_last("q"), "id")
         first = rows.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= F.lit(max(cap, 1)))
-        kept = first.join(quotas.select("c", "s", "quota"), ["c", "s"]).filter(F.col("r") <= F.col("quota")).select("id")
+        kept = _with_quotas(first, quotas, few).filter(F.col("r") <= F.col("quota")).select("id")
     else:
         kept = _rank_large(rows, quotas).select("id")
     kept = kept.withColumn("k", F.lit(True))
-    return rows.join(quotas.select("c", "s", "quota"), ["c", "s"]).join(kept, "id", "left").select(F.col("id").alias(record), F.col("c").alias("contributor_key"), F.col("s").alias("stratum_key"), F.col("quota").cast("bigint").alias("quota"), F.coalesce("k", F.lit(False)).alias("kept"))
+    return _with_quotas(rows, quotas, few).join(kept, "id", "left").select(F.col("id").alias(record), F.col("c").alias("contributor_key"), F.col("s").alias("stratum_key"), F.col("quota").cast("bigint").alias("quota"), F.coalesce("k", F.lit(False)).alias("kept"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -47,11 +48,14 @@ def digamma(x: np.ndarray) -> np.ndarray:
 @dataclass
 class Consensus:
     """items: item, accept_probability, n_accept, n_reject. annotators: who, n_labels, reliability, sensitivity,
-    specificity, community. communities: (accept where reject is right, accept where accept is right, share of annotators)."""
+    specificity, community. communities: (accept where reject is right, accept where accept is right, share of annotators).
+    rounds: how many were needed; settled: FALSE where they ended before the communities' counts did."""
 
     items: DataFrame
     annotators: DataFrame
     communities: list[tuple[float, float, float]]
+    rounds: int = 0
+    settled: bool = True
 
 
 def consensus(labels: DataFrame, start: tuple[tuple[float, float], ...] = COMMUNITIES, rounds: int = ROUNDS) -> Consensus:
@@ -64,7 +68,8 @@ def consensus(labels: DataFrame, start: tuple[tuple[float, float], ...] = COMMUN
 
     All per-item and per-annotator values stay in tables; only the communities' few numbers come to the driver. Sums
     combine before they shuffle, so an item or annotator with a large part of all labels is no burden. Rounds end where the
-    communities' counts move by less than SETTLED of all labels, or after ``rounds``.
+    communities' counts move by less than SETTLED of all labels, or after ``rounds``, which is said by ``settled`` and a warning.
+    Rounds run while the result is being put together.
 
     Rows with a NULL, or y other than 0 and 1, are left out. Items without labels don't occur. An annotator with one label is
     judged by its community. An empty table gives empty results.
@@ -98,23 +103,27 @@ def consensus(labels: DataFrame, start: tuple[tuple[float, float], ...] = COMMUN
     placed = "who string, n00 double, n01 double, n10 double, n11 double, " + ", ".join(f"r{c} double" for c in range(m))
     cells = [(c, k, y) for c in range(m) for k in (0, 1) for y in (0, 1)]
     workers = tables.keep(each(counted(share), model.placed, placed))
-    before = None
-    for _ in range(rounds):
+    before, done, settled = None, 0, False
+    for done in range(1, rounds + 1):
         sums = workers.agg(*[F.sum(f"r{c}").alias(f"r{c}") for c in range(m)], *[F.sum(F.col(f"r{c}") * F.col(f"n{k}{y}")).alias(f"a{c}{k}{y}") for c, k, y in cells], *[F.sum(F.col(f"n{k}0") + F.col(f"n{k}1")).alias(f"p{k}") for k in (0, 1)]).head()
         if sums["p0"] is None:
+            settled = True
             break
         soft = np.array([sums[f"a{c}{k}{y}"] for c, k, y in cells]).reshape(m, 2, 2)
         base = PRIOR * np.array([[[1 - a, a], [1 - b, b]] for a, b in start])
         model = Model(base + soft, np.array([1.0 + sums[f"r{c}"] for c in range(m)]), np.array([1.0 + sums["p0"], 1.0 + sums["p1"]]))
         if before is not None and np.abs(soft - before).sum() < SETTLED * soft.sum():
+            settled = True
             break
         before, old = soft, workers
         workers = tables.keep(each(counted(items_of(workers, model)), model.placed, placed))
         tables.drop(old)
+    if not settled:
+        warnings.warn(f"consensus: not settled after {rounds} rounds", stacklevel=2)
     items = items_of(workers, model).select("item", F.col("q").alias("accept_probability"), "n_accept", "n_reject")
     annotators = each(workers, model.judged, "who string, n_labels bigint, reliability double, sensitivity double, specificity double, community int")
     share_of = (model.size - 1) / max(1.0, model.size.sum() - m)
-    return Consensus(items, annotators, [(float(a[0, 1] / a[0].sum()), float(a[1, 1] / a[1].sum()), float(s)) for a, s in zip(model.alpha, share_of, strict=True)])
+    return Consensus(items, annotators, [(float(a[0, 1] / a[0].sum()), float(a[1, 1] / a[1].sum()), float(s)) for a, s in zip(model.alpha, share_of, strict=True)], done, settled)
 
 
 @dataclass(frozen=True)

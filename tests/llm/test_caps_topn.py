@@ -39,6 +39,16 @@ def test_top_n_with_ties_copies_and_a_hot_group(spark, run_rows):
     assert topn.top_n(df, "g", "score", "tie", 0).count() == 0
 
 
+def test_large_levels_and_many_strata_give_the_same(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(f"r{k:04d}", "big" if k % 10 < 7 else f"c{k % 40}", rng.choice("xy"), rng.choice([0.5, 0.5, 0.5, None, rng.random()])) for k in range(1200)]
+    df = spark.createDataFrame(rows, "id string, who string, topic string, q double")
+    want = {tuple(r) for r in caps.stratified_cap(df, ["who"], "id", "q", cap=90, strata=["topic"]).select("id", "quota", "kept").collect()}
+    monkeypatch.setattr(caps, "SMALL_CAP", 10)
+    monkeypatch.setattr(caps, "MOST_STRATA", 1)
+    assert {tuple(r) for r in caps.stratified_cap(df, ["who"], "id", "q", cap=90, strata=["topic"]).select("id", "quota", "kept").collect()} == want
+
+
 def test_runs_far_beyond_one_merge_are_merged_in_levels(spark):
     rng = random.Random(5)
     rows = [(rng.choice(["hot", "hot", f"g{rng.randrange(30)}"]), rng.random(), f"t{k}") for k in range(3000)]
@@ -94,7 +104,7 @@ def test_quotas_use_the_whole_cap(spark, by):
         assert sorted(got[c].values()) == sorted(quotas_by_hand(sizes, 17, by == "equal").values())
 
 
-def test_cap_keeps_the_best_and_small_and_large_caps_agree(spark):
+def test_cap_keeps_the_best_and_small_and_large_caps_agree(spark, monkeypatch):
     rng = random.Random(4)
     rows = [(f"r{k:04d}", rng.choice(["big", "small", None]), rng.choice(["x", "y", None]), rng.choice([None, float("nan"), 0.5, rng.random()])) for k in range(600)]
     df = spark.createDataFrame(rows + rows[:30] + [(None, "big", "x", 1.0)], "id string, who string, topic string, q double").withColumn("kept", F.lit(1))

@@ -88,3 +88,13 @@ def test_digamma():
     x = [0.05, 0.7, 1.0, 3.3, 250.0]
     want = [-20.4978449, -1.2200236, -0.5772157, 1.0347682, 5.5194598]
     assert np.allclose(consensus.digamma(np.array(x)), want, atol=2e-3)
+
+
+def test_rounds_that_end_early_are_said(spark):
+    rows, _, _ = votes(8, 120)
+    df = spark.createDataFrame(rows, "item string, who string, y int")
+    with pytest.warns(UserWarning, match="not settled"):
+        assert not consensus.consensus(df, rounds=1).settled
+    c = consensus.consensus(df, rounds=60)
+    assert c.settled and 1 < c.rounds < 60
+    assert consensus.consensus(df.limit(0)).settled
