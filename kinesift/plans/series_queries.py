@@ -348,7 +348,7 @@ SELECT p.file_id, slot, p.at, round(CASE WHEN v IS NULL THEN 0 ELSE least(1, gre
     "signal_envelope": f"""WITH {_T}, s AS (SELECT file_id, max(frame) + 1 AS n, greatest(1e-6, max(abs(v))) AS peak FROM t GROUP BY 1)
 SELECT file_id, CAST(((frame + 1) * 50 - 1) // n AS BIGINT) AS bin, round(greatest(-1, min(v) / max(peak)), 6) AS lower, round(least(1, max(v) / max(peak)), 6) AS upper FROM t JOIN s USING (file_id) GROUP BY 1, 2""",
     "file_rollups": f"""WITH {_T} SELECT file_id, count(*) AS frames, round(avg(CAST(smplh_valid AS INTEGER)), 6) AS valid_frac, round(count(*) FILTER (WHERE speech) / 30e0, 6) AS speech_seconds,
-  CAST(greatest(0, (max(frame) + 1 - {W}) // {H} + 1) AS INTEGER) AS n_windows FROM t GROUP BY file_id""",
+  CAST(CASE WHEN max(frame) + 1 < {W} THEN 0 ELSE (max(frame) + 1 - {W}) // {H} + 1 END AS INTEGER) AS n_windows FROM t GROUP BY file_id""",
 }
 _MEASURED = ("window_measures", "episodes_in_speech", "segments_covered", "longest_invalid_run", "excursion_range", "posture_spread")
 _GATED = "coalesce(" + ", ".join(f"CASE WHEN NOT coalesce({c} {op} {lim!r}e0, false) THEN '{label}' END" for c, op, lim, label in GATES) + ")"
