@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -149,7 +152,7 @@ def _lagged(lag: int, bins: int) -> str:
     return f"zip_with(slice(bins, {max(lag, 0) + 1}, {n}), slice(bins, {max(-lag, 0) + 1}, {n}), (a, b) -> named_struct('x', a.v, 'y', b.s))"
 
 
-def window_measures(tracks: DataFrame, width: int, hop: int, fps: float = 30.0, block: int = WINDOWS_A_BLOCK) -> DataFrame:
+def window_measures(tracks: DataFrame, width: int, hop: int, fps: float = 30.0, block: int = WINDOWS_A_BLOCK, only: Sequence[str] | None = None) -> DataFrame:
     """All measures of every window of every file.
 
     ``tracks``: one row a frame with ``file_id, frame``, POINTS, NUMBERS and FLAGS; series are those of whole files, so values
@@ -158,15 +161,14 @@ def window_measures(tracks: DataFrame, width: int, hop: int, fps: float = 30.0,
     A measure that nothing was measured for is NULL. Where a window has no speech, posture is that of all its frames.
     Windows of less than two seconds have a status and no measure.
 
-    Returns ``file_id, window_index, start_frame, end_frame, start_s, gesture_status`` and the measures; what isn't selected
-    from it isn't computed.
+    Returns ``file_id, window_index, start_frame, end_frame, start_s, gesture_status`` and the measures, or those of ``only``;
+    tracks that they don't need aren't moved, and needn't be there.
     """
-    clean = tracks.withColumns({c: measured(c) for c in (*POINTS, *NUMBERS)})
-    w = framed_windows(clean, width, hop, [*POINTS, *NUMBERS, *FLAGS], block)
     size, least, step = max(1, round(BIN_S * fps)), max(1, round(OVERLAP_S * fps)), max(1, round(SAMPLE_S * fps))
     lags, bins, arms = round(MOST_LAG_S / BIN_S), width // size, ("wrist", "elbow")
     status = "'ok'" if width >= round(2 * fps) else f"'window_too_short:{width}'"
-    w = w.selectExpr("*", "filter(f, x -> x.speech) AS fs").selectExpr("*", "CASE WHEN size(fs) > 0 THEN fs ELSE f END AS fp")
+    zeroth = {"fs": "filter(f, x -> x.speech)"}
+    early = {"fp": "CASE WHEN size(fs) > 0 THEN fs ELSE f END"}
     first = {
         "o_speed": in_order("f.arm_speed"),
         "o_speech": in_order("fs.arm_speed"),
@@ -192,8 +194,6 @@ def window_measures(tracks: DataFrame, width: int, hop: int, fps: float = 30.0,
     } | {f"o_{k}": in_order(_excursion(k)) for k in arms}
     # of equal correlations the first lag
     third = {"best": "array_max(transform(filter(corr, c -> c.r IS NOT NULL), c -> named_struct('k', round(c.r, 12), 'l', -c.lag, 'r', c.r)))"}
-    for made in (first, second, third):
-        w = w.selectExpr("*", *[f"{e} AS {c}" for c, e in made.items()])
     measures = {
         "window_frames": "size(f)",
         "window_seconds": f"{width / fps!r}D",
@@ -236,5 +236,17 @@ def window_measures(tracks: DataFrame, width: int, hop: int, fps: float = 30.0,
     }
     if status != "'ok'":
         measures = {c: f"CASE WHEN false THEN {e} END" for c, e in measures.items()}
+    if only is not None:
+        measures = {c: measures[c] for c in only}
+    stages, words = (zeroth, early, first, second, third), set(re.findall(r"\w+", " ".join(measures.values())))
+    used: list[dict[str, str]] = []
+    for made in reversed(stages):  # what the later stages and the measures read
+        mine = {c: e for c, e in made.items() if c in words}
+        words |= set(re.findall(r"\w+", " ".join(mine.values())))
+        used.insert(0, mine)
+    columns = [c for c in (*POINTS, *NUMBERS, *FLAGS) if c in words]
+    w = framed_windows(tracks.withColumns({c: measured(c) for c in columns if c not in FLAGS}), width, hop, columns, block)
+    for made in used:
+        w = w.selectExpr("*", *[f"{e} AS {c}" for c, e in made.items()])
     place = {"start_frame": f"window_index * {hop}", "end_frame": f"window_index * {hop} + {width}", "start_s": f"window_index * {hop} / {fps!r}D", "gesture_status": status}
     return w.selectExpr("file_id", "window_index", *[f"{e} AS {c}" for c, e in (place | measures).items()])

@@ -49,22 +49,30 @@ POSE = {
 }
 
 
-def _pose(spark: SparkSession, d: str) -> DataFrame:
+def _frames(spark: SparkSession, d: str) -> DataFrame:
+    return tracks(spark, d, "arm_speed", "step_cosine", "step_cosine_right", "hand_frozen", "speech", "smplh_valid", "kp_conf")
+
+
+def _posed(t: DataFrame) -> DataFrame:
     """Frames with stand-in tracks, and whether they are active as they are."""
-    t = tracks(spark, d, "arm_speed", "step_cosine", "step_cosine_right", "hand_frozen", "speech", "smplh_valid", "kp_conf")
     t = t.withColumn("v", measured("arm_speed")).withColumn("v0", F.coalesce("v", F.lit(0.0)))
-    return t.withColumns({c: F.expr(e) for c, e in POSE.items()}).withColumn("raw", F.coalesce((F.col("v") > 60.0) & (F.col("arm_travel") > 35.0), F.lit(False)))
+    return t.selectExpr("*", *[f"{e} AS {c}" for c, e in POSE.items()]).withColumn("raw", F.coalesce((F.col("v") > 60.0) & (F.col("arm_travel") > 35.0), F.lit(False)))
+
+
+def _pose(spark: SparkSession, d: str) -> DataFrame:
+    return _posed(_frames(spark, d))
 
 
-def _measured(spark: SparkSession, d: str) -> DataFrame:
+def _measured(spark: SparkSession, d: str, only: tuple[str, ...]) -> DataFrame:
     """Measures of all windows; activity is closed and opened over whole files first."""
-    pose = Durable(spark).keep(_pose(spark, d))  # read twice
+    pose = _posed(Durable(spark).keep(_frames(spark, d)))  # read twice, put in order once
     active = series.closed_runs(pose, "file_id", "frame", F.col("raw"), 8, 9)
-    return measures.window_measures(series.in_stretches(pose, active, "file_id", "frame", "active"), W, H)
+    return measures.window_measures(series.in_stretches(pose, active, "file_id", "frame", "active"), W, H, only=only)
 
 
 def _some(spark: SparkSession, d: str, *names: str) -> DataFrame:
-    return _rounded(_measured(spark, d).select(*K, *names), K)
+    place = ("start_frame", "end_frame", "gesture_status")
+    return _rounded(_measured(spark, d, tuple(n for n in names if n not in place)).select(*K, *names), K)
 
 
 def _track2(spark, d):
@@ -157,7 +165,7 @@ def sync_xcorr(spark, d):
 
 def window_gates(spark, d):
     """Measured windows through all gates."""
-    return rules.gate(_measured(spark, d)).select(*K, "fail_reason", "qualifies")
+    return rules.gate(_measured(spark, d, tuple(c for c, *_ in GATES))).select(*K, "fail_reason", "qualifies")
 
 
 def speech_mask_intervals(spark, d):
