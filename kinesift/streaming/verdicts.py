@@ -16,9 +16,11 @@ def read_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def current(stream: DataFrame) -> DataFrame:
-    """Last write of each item, for update or complete output: one row of state an item, unreadable times first."""
+    """Last write of each item, for update or complete output: one row of state an item, unreadable times first. ``contested``:
+    did the item ever get two different verdicts (case and outer spaces don't matter)?"""
     at = F.struct(F.coalesce(instant("recorded_utc"), F.lit("0001-01-01 00:00:00").cast("timestamp")), F.col("log_line"))
-    return stream.filter("review_item_id IS NOT NULL").groupBy("review_item_id").agg(F.max_by(F.struct("verdict", "reviewer"), at).alias("x"), F.count(F.lit(1)).alias("revisions")).select("review_item_id", "x.verdict", "x.reviewer", "revisions")
+    said = F.lower(F.trim("verdict"))
+    return stream.filter("review_item_id IS NOT NULL").groupBy("review_item_id").agg(F.max_by(F.struct("verdict", "reviewer"), at).alias("x"), F.count(F.lit(1)).alias("revisions"), F.min(said).alias("lo"), F.max(said).alias("hi")).select("review_item_id", "x.verdict", "x.reviewer", "revisions", F.coalesce(F.col("lo") != F.col("hi"), F.lit(False)).alias("contested"))
 
 
 def daily(stream: DataFrame, late: str = "2 days") -> DataFrame:

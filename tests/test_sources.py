@@ -113,4 +113,4 @@ def test_stream_keeps_the_last_write(spark, tmp_path):
     q = verdicts.current(verdicts.read_stream(spark, src)).writeStream.outputMode("complete").format("memory").queryName("verdicts_now").option("checkpointLocation", f"{tmp_path}/cp").start()
     q.processAllAvailable()
     q.stop()
-    assert {tuple(r) for r in spark.sql("SELECT * FROM verdicts_now").collect()} == {("r1", "accept", "a", 2), ("r2", "accept", "c", 2)}
+    assert {tuple(r) for r in spark.sql("SELECT * FROM verdicts_now").collect()} == {("r1", "accept", "a", 2, True), ("r2", "accept", "c", 2, True)}
