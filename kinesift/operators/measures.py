@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,21 +27,27 @@ LEAST_COSINES, LEAST_BINS, LEAST_SAMPLES = 8, 8, 3
 WINDOWS_A_BLOCK = 32
 
 
-def framed_windows(tracks: DataFrame, width: int, hop: int, columns: list[str], block: int = WINDOWS_A_BLOCK) -> DataFrame:
+def framed_windows(tracks: DataFrame, width: int, hop: int, columns: list[str], block: int = WINDOWS_A_BLOCK, late: Mapping[str, str] | None = None) -> DataFrame:
     """``file_id, window_index, f``: the frames of every window that fits its file, an array in order of frames.
 
     Frames go to blocks of windows (a frame near a border to two), once, and are gathered in panes as long as hop and width
     allow; windows are put together from the panes of their block. No frame is copied for each of its windows before the
     shuffle, and a block is all that a task holds of a file. Rows without file or with a negative frame are left out; one
-    row a frame is expected. Windows without any frame don't occur.
+    row a frame is expected. Windows without any frame don't occur. ``late`` gives columns as SQL over those of ``tracks``: they
+    are computed after the shuffle, so that only what they are made of is moved.
     """
+    late = {c: e for c, e in (late or {}).items() if c in columns}
+    words = {w for e in late.values() for w in re.findall(r"\w+", e)}
+    moved = [c for c in tracks.columns if c not in (*late, "file_id", "frame") and (c in columns or c in words)]
     pane = math.gcd(width, hop)
     o = F.col("frame").cast("bigint")
-    rows = tracks.filter(F.col("file_id").isNotNull() & (o >= 0)).select("file_id", o.alias("frame"), *columns)
+    rows = tracks.filter(F.col("file_id").isNotNull() & (o >= 0)).select("file_id", o.alias("frame"), *moved)
     first = F.greatest(F.lit(0).cast("bigint"), F.floor((o - width) / F.lit(hop)) + 1)
     blocks = F.sequence(F.floor(first / F.lit(block)), F.floor(F.floor(o / F.lit(hop)) / F.lit(block)))
     spread = rows.withColumn("b", F.explode(blocks)).withColumn("p", F.floor(o / F.lit(pane)))
-    panes = spread.repartition("file_id", "b").groupBy("file_id", "b", "p").agg(F.sort_array(F.collect_list(F.struct("frame", *columns))).alias("r"))
+    here = spread.repartition("file_id", "b").selectExpr("*", *[f"{e} AS {c}" for c, e in late.items()])
+    here = here.withColumns({c: measured(c) for c in columns if c in (*POINTS, *NUMBERS)})
+    panes = here.groupBy("file_id", "b", "p").agg(F.sort_array(F.collect_list(F.struct("frame", *columns))).alias("r"))
     whole = panes.groupBy("file_id", "b").agg(F.sort_array(F.collect_list(F.struct("p", "r"))).alias("panes"))
     lengths = rows.groupBy("file_id").agg((F.max("frame") + 1).alias("n"))
     k = F.col("window_index")
@@ -152,7 +158,7 @@ def _lagged(lag: int, bins: int) -> str:
     return f"zip_with(slice(bins, {max(lag, 0) + 1}, {n}), slice(bins, {max(-lag, 0) + 1}, {n}), (a, b) -> named_struct('x', a.v, 'y', b.s))"
 
 
-def window_measures(tracks: DataFrame, width: int, hop: int, fps: float = 30.0, block: int = WINDOWS_A_BLOCK, only: Sequence[str] | None = None) -> DataFrame:
+def window_measures(tracks: DataFrame, width: int, hop: int, fps: float = 30.0, block: int = WINDOWS_A_BLOCK, only: Sequence[str] | None = None, late: Mapping[str, str] | None = None) -> DataFrame:
     """All measures of every window of every file.
 
     ``tracks``: one row a frame with ``file_id, frame``, POINTS, NUMBERS and FLAGS; series are those of whole files, so values
@@ -162,7 +168,7 @@ def window_measures(tracks: DataFrame, width: int, hop: int, fps: float = 30.0,
     Windows of less than two seconds have a status and no measure.
 
     Returns ``file_id, window_index, start_frame, end_frame, start_s, gesture_status`` and the measures, or those of ``only``;
-    tracks that they don't need aren't moved, and needn't be there.
+    tracks that they don't need aren't moved, and needn't be there; those of ``late`` are SQL over others (``framed_windows``).
     """
     size, least, step = max(1, round(BIN_S * fps)), max(1, round(OVERLAP_S * fps)), max(1, round(SAMPLE_S * fps))
     lags, bins, arms = round(MOST_LAG_S / BIN_S), width // size, ("wrist", "elbow")
@@ -245,7 +251,7 @@ def window_measures(tracks: DataFrame, width: int, hop: int, fps: float = 30.0,
         words |= set(re.findall(r"\w+", " ".join(mine.values())))
         used.insert(0, mine)
     columns = [c for c in (*POINTS, *NUMBERS, *FLAGS) if c in words]
-    w = framed_windows(tracks.withColumns({c: measured(c) for c in columns if c not in FLAGS}), width, hop, columns, block)
+    w = framed_windows(tracks, width, hop, columns, block, late)
     for made in used:
         w = w.selectExpr("*", *[f"{e} AS {c}" for c, e in made.items()])
     place = {"start_frame": f"window_index * {hop}", "end_frame": f"window_index * {hop} + {width}", "start_s": f"window_index * {hop} / {fps!r}D", "gesture_status": status}

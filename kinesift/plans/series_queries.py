@@ -65,9 +65,10 @@ def _pose(spark: SparkSession, d: str) -> DataFrame:
 
 def _measured(spark: SparkSession, d: str, only: tuple[str, ...]) -> DataFrame:
     """Measures of all windows; activity is closed and opened over whole files first."""
-    pose = _posed(Durable(spark).keep(_frames(spark, d)))  # read twice, put in order once
-    active = series.closed_runs(pose, "file_id", "frame", F.col("raw"), 8, 9)
-    return measures.window_measures(series.in_stretches(pose, active, "file_id", "frame", "active"), W, H, only=only)
+    frames = Durable(spark).keep(_frames(spark, d))  # read twice, put in order once
+    active = series.closed_runs(_posed(frames), "file_id", "frame", F.col("raw"), 8, 9)
+    base = series.in_stretches(frames, active, "file_id", "frame", "active").withColumn("v0", F.coalesce(measured("arm_speed"), F.lit(0.0)))
+    return measures.window_measures(base, W, H, only=only, late=POSE)
 
 
 def _some(spark: SparkSession, d: str, *names: str) -> DataFrame:
